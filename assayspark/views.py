@@ -110,7 +110,7 @@ def track(spark: SparkSession, d: str) -> DataFrame:
     Values carry the quirks of real tracks: NaN, +inf and negatives.
     """
     ev = table(spark, d, "events")
-    t0 = ev.agg(F.min(F.unix_micros("ts"))).scalar()
+    t0 = ev.agg(F.min("ts")).scalar()
     val = (
         F.when(F.col("event_id") % 53 == 0, F.lit(float("nan")))
         .when(F.col("event_id") % 61 == 0, F.lit(float("inf")))
@@ -120,7 +120,7 @@ def track(spark: SparkSession, d: str) -> DataFrame:
     base = ev.select(
         F.col("event_type").alias("track"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("chrom"),
-        ((F.unix_micros("ts") - t0).cast("long") / F.lit(60_000_000)).cast("long").alias("start"),
+        F.floor(F.timestamp_diff("MICROSECOND", t0, F.col("ts")) / F.lit(60_000_000)).cast("long").alias("start"),
         F.col("event_id"),
         val.alias("value"),
     )
