@@ -1,7 +1,7 @@
 """Registered queries, grouped by area; importing this package fills the registry."""
 
 from assayspark.plans import registry  # noqa: F401
-from assayspark.plans import profile_q, sequence_q, tidy_q  # noqa: F401
+from assayspark.plans import profile_q, sampling_q, sequence_q, tidy_q, tokens_q  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
