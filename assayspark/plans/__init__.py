@@ -1,7 +1,14 @@
 """Registered queries, grouped by area; importing this package fills the registry."""
 
-from assayspark.plans import registry  # noqa: F401
-from assayspark.plans import profile_q, sampling_q, sequence_q, tidy_q, tokens_q  # noqa: F401
+from assayspark.plans import registry
+from assayspark.plans import (  # noqa: F401
+    profile_q,
+    sampling_q,
+    sequence_q,
+    signal_q,
+    tidy_q,
+    tokens_q,
+)
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
