@@ -114,15 +114,16 @@ def resize_udf(h: int, w: int, out_h: int, out_w: int):
     return resize
 
 
-def rotate_udf(h: int, w: int):
-    """F14 rotation: nearest-neighbour rotation by an angle (degrees) about the centre, zeros outside."""
+def augment_udf(h: int, w: int):
+    """F14 as one Arrow-batched UDF: optional H/V flips, then nearest-neighbour rotation about the centre
+    (degrees, zeros outside); the same draw applies to every channel of an image."""
 
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-    def rotate(chs: pd.Series, angle: pd.Series) -> pd.Series:
+    def aug(chs: pd.Series, fh: pd.Series, fv: pd.Series, angle: pd.Series) -> pd.Series:
         yy, xx = np.mgrid[0:h, 0:w]
         cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
         out = []
-        for img, ang in zip(chs, angle):
+        for img, do_h, do_v, ang in zip(chs, fh, fv, angle):
             t = np.deg2rad(ang)
             c, s = np.cos(t), np.sin(t)
             # inverse map: output pixel -> source pixel
@@ -133,13 +134,17 @@ def rotate_udf(h: int, w: int):
             res = []
             for ch in img:
                 x = np.asarray(ch, dtype=np.float32).reshape(h, w)
+                if do_h:
+                    x = x[:, ::-1]
+                if do_v:
+                    x = x[::-1, :]
                 y = np.zeros_like(x)
                 y[ok] = x[iy[ok], ix[ok]]
                 res.append(y.ravel())
             out.append(res)
         return pd.Series(out)
 
-    return rotate
+    return aug
 
 
 def augment(df, channels: str, id_col: str, epoch: int, h: int, w: int, seed: int = 42, max_angle: float = 90.0):
@@ -149,7 +154,4 @@ def augment(df, channels: str, id_col: str, epoch: int, h: int, w: int, seed: in
     u2 = hash_uniform(*key, seed=seed + 1)
     u3 = hash_uniform(*key, seed=seed + 2)
     x = df.withColumn("_flip_h", u1 < 0.5).withColumn("_flip_v", u2 < 0.5).withColumn("_angle", (u3 * 2 - 1) * max_angle)
-    x = x.withColumn(channels, F.when(F.col("_flip_h"), flip_h(F.col(channels), w)).otherwise(F.col(channels)))
-    x = x.withColumn(channels, F.when(F.col("_flip_v"), flip_v(F.col(channels), w)).otherwise(F.col(channels)))
-    x = x.withColumn(channels, rotate_udf(h, w)(F.col(channels), F.col("_angle")))
-    return x
+    return x.withColumn(channels, augment_udf(h, w)(F.col(channels), F.col("_flip_h"), F.col("_flip_v"), F.col("_angle")))

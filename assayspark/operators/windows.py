@@ -18,14 +18,14 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
-def _local_numbers(keys: list[str]):
-    """Per-task numbering of rows already sorted by (keys, order); vectorised per Arrow batch."""
+def _local_running(keys: list[str], value: str | None):
+    """Per-task running count (or running sum of ``value``) over rows sorted by (keys, order)."""
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_hash, carried = None, 0
+        last_hash, carried = None, 0.0
         for pdf in batches:
             if pdf.empty:
-                yield pdf.assign(_local=pd.Series([], dtype="int64"))
+                yield pdf.assign(_local=pd.Series([], dtype="float64" if value else "int64"))
                 continue
             if keys:
                 h = pd.util.hash_pandas_object(pdf[keys], index=False).to_numpy()
@@ -35,40 +35,55 @@ def _local_numbers(keys: list[str]):
             change[0] = last_hash is None or h[0] != last_hash
             change[1:] = h[1:] != h[:-1]
             run = np.cumsum(change)
-            local = pd.Series(run).groupby(run).cumcount().to_numpy() + 1
+            v = pdf[value].fillna(0).to_numpy(dtype=np.float64) if value else np.ones(len(pdf))
+            local = pd.Series(v).groupby(run).cumsum().to_numpy()
             if not change[0]:
                 local[run == run[0]] += carried
             last_hash = h[-1]
-            carried = int(local[-1])
-            yield pdf.assign(_local=pd.Series(local, index=pdf.index, dtype="int64"))
+            carried = float(local[-1])
+            out = local if value else np.rint(local).astype(np.int64)
+            yield pdf.assign(_local=pd.Series(out, index=pdf.index))
 
     return fn
 
 
-def row_number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", partitions: int | None = None
+def running_sum_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None, name: str, partitions: int | None = None
 ) -> DataFrame:
-    """``row_number() over (partition by keys order by order)`` without a single-task hot key.
+    """Running count (``value`` None) or running sum of ``value`` inside each key, in ``order``, inclusive.
 
-    ``order`` must make the order total within a key (add a unique id).
-    With no keys it is a global row number.
+    Rows are range-partitioned on (keys, order) so a hot key spans many tasks;
+    each task accumulates its slice, and a per-(task, key) total table gives
+    the offsets (two-level prefix sum).  ``order`` must be total within a key.
     """
     keys, order = list(keys), list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order]).sortWithinPartitions(*(keys + order))
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    numbered = ranged.mapInPandas(_local_numbers(keys), schema)
-    counts = numbered.groupBy("_pid", *keys).agg(F.max("_local").alias("_cnt"))
+    ltype = T.DoubleType() if value else T.LongType()
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", ltype)])
+    numbered = ranged.mapInPandas(_local_running(keys, value), schema)
+    counts = numbered.groupBy("_pid", *keys).agg(F.max_by("_local", F.struct(*order)).alias("_cnt"))
     w = Window.partitionBy(*keys).orderBy("_pid") if keys else Window.orderBy("_pid")
+    zero = F.lit(0.0) if value else F.lit(0)
     offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "_off", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), zero)
     ).select(F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_ok{i}") for i, k in enumerate(keys)], "_off")
     # NULL keys must join to their own offsets: use null-safe equality.
     cond = [F.col("_pid") == F.col("_opid")] + [F.col(k).eqNullSafe(F.col(f"_ok{i}")) for i, k in enumerate(keys)]
-    out = numbered.join(offsets, cond).select(*df.columns, (F.col("_local") + F.col("_off")).alias(name))
-    return out
+    return numbered.join(offsets, cond).select(*df.columns, (F.col("_local") + F.col("_off")).alias(name))
+
+
+def row_number_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", partitions: int | None = None
+) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` without a single-task hot key.
+
+    ``order`` must make the order total within a key (add a unique id).
+    With no keys it is a global row number.
+    """
+    return running_sum_within(df, keys, order, None, name, partitions)
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:

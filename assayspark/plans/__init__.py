@@ -4,6 +4,7 @@ from assayspark.plans import registry
 from assayspark.plans import (  # noqa: F401
     profile_q,
     sampling_q,
+    scoring_q,
     sequence_q,
     signal_q,
     tidy_q,

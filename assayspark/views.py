@@ -226,6 +226,18 @@ def logits(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def image(spark: SparkSession, d: str) -> DataFrame:
+    """Images (id, label, channels ARRAY<ARRAY<DOUBLE>>): three flattened 8 x 8 channels from each embedding.
+
+    Channel 0 is the embedding, channel 1 the embedding rotated by one slot,
+    channel 2 its square - or a constant 0.5 on every 10th image.
+    """
+    e = table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    ch1 = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.element_at(F.col("e"), (i + 1) % 64 + 1))
+    ch2 = F.when(F.col("vec_id") % 10 == 0, F.array_repeat(F.lit(0.5), 64)).otherwise(F.transform("e", lambda x: x * x))
+    return e.select(F.col("vec_id").alias("id"), "label", F.array(F.col("e"), ch1, ch2).alias("channels"))
+
+
 def runs(spark: SparkSession, d: str) -> DataFrame:
     """Run log (run, step, metric, loss): one run per event type, one step per day."""
     ev = table(spark, d, "events")
@@ -288,6 +300,9 @@ SQL = {
                      unnest(range(len(string_split(text, chr(10))))) AS ln FROM documents) l""",
     "logits": """SELECT vec_id AS id, label,
         list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE) * 10) AS logits FROM embeddings""",
+    "image": """SELECT vec_id AS id, label, [e, list_transform(range(64), lambda i: e[(i + 1) % 64 + 1]),
+            CASE WHEN vec_id % 10 = 0 THEN list_transform(range(64), lambda i: 0.5) ELSE list_transform(e, lambda x: x * x) END] AS channels
+        FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings) t""",
     "runs": """SELECT event_type AS run, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS step,
         round(avg(value) / 500, 6) AS metric, round(stddev_samp(value) / 100, 6) AS loss
         FROM events GROUP BY 1, 2""",
@@ -316,5 +331,6 @@ BUILDERS = {
     "bed": bed,
     "strings": strings,
     "logits": logits,
+    "image": image,
     "runs": runs,
 }
