@@ -8,6 +8,7 @@ from assayspark.plans import (  # noqa: F401
     scoring_q,
     sequence_q,
     signal_q,
+    sources_q,
     tidy_q,
     tokens_q,
 )
