@@ -54,10 +54,19 @@ def stratified_split(df: DataFrame, id_col: str, label: str, frac: float = 0.2,
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42, hash_col: Column | None = None) -> DataFrame:
-    """fold = (rank within class by hash - 1) mod k; fold sizes per class differ by at most 1."""
+    """Round-robin folds within each class (rank by hash), continued across classes.
+
+    fold = (rank within class - 1 + rows of the preceding classes) mod k, so
+    fold sizes differ by at most 1 within every class and overall.  The class
+    offsets come from the class-count table (one row per class).
+    """
     h = _with_hash(df, id_col, seed, hash_col)
     ranked = row_number_within(h, [label], ["_h", id_col], "_rn")
-    return ranked.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_h", "_rn")
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
+    w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)  # over classes only
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n_c").over(w), F.lit(0))).select(label, "_off")
+    j = ranked.join(offs, label)
+    return j.withColumn("fold", ((F.col("_rn") - 1 + F.col("_off")) % k).cast("int")).drop("_h", "_rn", "_off")
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, hash_col: Column | None = None) -> DataFrame:

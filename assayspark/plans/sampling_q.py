@@ -43,8 +43,10 @@ def x02_stratified_split(spark, d):
 
 @query(
     "x03_stratified_folds",
-    f"""SELECT vec_id AS id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {H}, vec_id) - 1) % 5 AS INTEGER) AS fold
-        FROM embeddings""",
+    f"""WITH c AS (SELECT label, count(*) AS n_c FROM embeddings GROUP BY label),
+             o AS (SELECT label, coalesce(sum(n_c) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM c)
+        SELECT vec_id AS id, e.label, CAST((row_number() OVER (PARTITION BY e.label ORDER BY {H}, vec_id) - 1 + off) % 5 AS INTEGER) AS fold
+        FROM embeddings e JOIN o ON e.label = o.label""",
 )
 def x03_stratified_folds(spark, d):
     return X.stratified_folds(labelled(spark, d), "id", "label", 5, 42).select("id", "label", "fold")
