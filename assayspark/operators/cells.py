@@ -29,7 +29,8 @@ def dispersion_hvg(m: DataFrame, n_top: int, n_bins: int = 20, feature: str = "f
     per_bin = st.groupBy("bin").agg(F.avg("log_disp").alias("_bm"), F.stddev_samp("log_disp").alias("_bs"))
     z = F.when(F.col("_bs").isNull() | (F.col("_bs") == 0), F.lit(0.0)).otherwise((F.col("log_disp") - F.col("_bm")) / F.col("_bs"))
     st = st.join(per_bin, "bin").withColumn("z", z).drop("_bm", "_bs")
-    top = st.where(F.col("z").isNotNull()).orderBy(F.desc("z"), F.asc(feature)).limit(n_top).select(feature, F.lit(True).alias("highly_variable"))
+    # Ranked on z rounded to 1e-9 so genes tied in exact arithmetic stay tied (then by gene).
+    top = st.where(F.col("z").isNotNull()).orderBy(F.desc(F.round("z", 9)), F.asc(feature)).limit(n_top).select(feature, F.lit(True).alias("highly_variable"))
     return st.join(F.broadcast(top), feature, "left").withColumn("highly_variable", F.coalesce("highly_variable", F.lit(False)))
 
 

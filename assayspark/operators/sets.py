@@ -39,18 +39,19 @@ def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(cols)).select(*cols)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per key, the one with the smallest ``order``.
+def keep_first(df: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -> DataFrame:
+    """One row per key, the one with the smallest ``order`` (several columns: lexicographic).
 
     ``min_by`` over a struct of the other columns aggregates map-side first,
     so a hot key never sorts in one task (unlike row_number over the key).
     """
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order)).alias("_r"))
+    ordcol = F.col(order) if isinstance(order, str) else F.struct(*order)
+    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ordcol).alias("_r"))
     return agg.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def keep_first_by_values(df: DataFrame, value_cols: Sequence[str], order: str) -> DataFrame:
+def keep_first_by_values(df: DataFrame, value_cols: Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """De-duplicate whole rows by their values (keep the earliest)."""
     return keep_first(df, value_cols, order)
 

@@ -150,7 +150,7 @@ def cell_matrix(spark, d):
                            CAST(least(floor((mean - (SELECT min(mean) FROM st)) / ((SELECT max(mean) FROM st) - (SELECT min(mean) FROM st)) * 20) + 1, 20) AS INTEGER) AS bin FROM st),
             pb AS (SELECT bin, avg(ld) AS bm, stddev_samp(ld) AS bs FROM st2 GROUP BY bin),
             z AS (SELECT feature, st2.bin, CASE WHEN bs IS NULL OR bs = 0 THEN 0.0 ELSE (ld - bm) / bs END AS z FROM st2 JOIN pb USING (bin)),
-            top AS (SELECT feature FROM z ORDER BY z DESC, feature LIMIT 16)
+            top AS (SELECT feature FROM z ORDER BY round(z, 9) DESC, feature LIMIT 16)
        SELECT z.feature, z.bin, round(z.z, 6) AS z, z.feature IN (SELECT feature FROM top) AS highly_variable FROM z""",
     ("matrix",),
 )

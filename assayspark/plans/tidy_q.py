@@ -216,21 +216,22 @@ def u05_distinct_pairs(spark, d):
 @query(
     "u06_keep_first",
     """SELECT feature, sample, value, row_idx, dataset FROM (
-         SELECT *, row_number() OVER (PARTITION BY feature ORDER BY row_idx) AS rn FROM matrix_sparse) t WHERE rn = 1""",
+         SELECT *, row_number() OVER (PARTITION BY feature ORDER BY row_idx, dataset, sample) AS rn FROM matrix_sparse) t WHERE rn = 1""",
     ("matrix_sparse",),
 )
 def u06_keep_first(spark, d):
-    return U.keep_first(view(spark, d, "matrix_sparse"), ["feature"], "row_idx")
+    # row_idx can repeat in the stand-in, so ties are broken by the remaining columns
+    return U.keep_first(view(spark, d, "matrix_sparse"), ["feature"], ["row_idx", "dataset", "sample"])
 
 
 @query(
     "u07_keep_first_by_values",
     """SELECT sample, value, feature, row_idx, dataset FROM (
-         SELECT *, row_number() OVER (PARTITION BY sample, value ORDER BY row_idx) AS rn FROM matrix_sparse) t WHERE rn = 1""",
+         SELECT *, row_number() OVER (PARTITION BY sample, value ORDER BY row_idx, dataset, feature) AS rn FROM matrix_sparse) t WHERE rn = 1""",
     ("matrix_sparse",),
 )
 def u07_keep_first_by_values(spark, d):
-    return U.keep_first_by_values(view(spark, d, "matrix_sparse"), ["sample", "value"], "row_idx")
+    return U.keep_first_by_values(view(spark, d, "matrix_sparse"), ["sample", "value"], ["row_idx", "dataset", "feature"])
 
 
 @query(
@@ -303,13 +304,15 @@ def j08_membership_label(spark, d):
 
 @query(
     "o04_head_tail",
-    """(SELECT row_idx, feature, sample FROM matrix_sparse ORDER BY row_idx LIMIT 10)
-       UNION ALL (SELECT row_idx, feature, sample FROM matrix_sparse ORDER BY row_idx DESC LIMIT 10)""",
+    """(SELECT row_idx, feature, sample FROM matrix_sparse ORDER BY row_idx, dataset, feature LIMIT 10)
+       UNION ALL (SELECT row_idx, feature, sample FROM matrix_sparse ORDER BY row_idx DESC, dataset DESC, feature DESC LIMIT 10)""",
     ("matrix_sparse",),
 )
 def o04_head_tail(spark, d):
-    m = view(spark, d, "matrix_sparse").select("row_idx", "feature", "sample")
-    return m.orderBy("row_idx").limit(10).unionByName(m.orderBy(F.desc("row_idx")).limit(10))
+    m = view(spark, d, "matrix_sparse")
+    head = m.orderBy("row_idx", "dataset", "feature").limit(10)
+    tail = m.orderBy(F.desc("row_idx"), F.desc("dataset"), F.desc("feature")).limit(10)
+    return head.select("row_idx", "feature", "sample").unionByName(tail.select("row_idx", "feature", "sample"))
 
 
 @query(
