@@ -2,6 +2,7 @@
 
 from assayspark.plans import registry
 from assayspark.plans import (  # noqa: F401
+    extra_q,
     models_q,
     profile_q,
     sampling_q,
