@@ -137,16 +137,17 @@ def generated_and_training(spark, d):
     ("strings",),
 )
 def a32_generation_stats(spark, d):
+    """One plan: well-formed generated strings grouped by string (copies counted), flagged against the
+    training set by a left join, then a single aggregate for valid / unique / novel / mean rings."""
     gen, train = generated_and_training(spark, d)
-    ok = gen.where(K.well_formed(F.col("s"))).select("s", K.ring_count(F.col("s")).alias("rings"))
-    uniq = ok.dropDuplicates(["s"])
-    novel = J.anti(uniq, train, ["s"])
-    n_valid = ok.agg(F.count(F.lit(1))).scalar()
-    n_novel = novel.agg(F.count(F.lit(1))).scalar()
-    return uniq.agg(
-        n_valid.alias("n_valid"),
+    per = gen.where(K.well_formed(F.col("s"))).groupBy("s").agg(
+        F.count(F.lit(1)).alias("copies"), F.first(K.ring_count(F.col("s"))).alias("rings")
+    )
+    flagged = per.join(train.withColumn("in_train", F.lit(True)), "s", "left")
+    return flagged.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("n_valid"),
         F.count(F.lit(1)).alias("n_unique"),
-        n_novel.alias("n_novel"),
+        F.count_if(F.col("in_train").isNull()).alias("n_novel"),
         F.round(F.coalesce(F.avg("rings"), F.lit(0.0)), 6).alias("mean_rings"),
     )
 
