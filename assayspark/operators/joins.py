@@ -47,20 +47,33 @@ def membership_label(df: DataFrame, members: DataFrame, col: str, out: str = "la
 
 
 def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int) -> DataFrame:
-    """BED interval -> upper-case sequence slice from a chunked genome.
+    """BED interval -> upper-case sequence slice from a chunked genome (unknown chromosome -> '',
+    an end past the sequence truncates).  ``intervals`` needs a unique ``row_idx``.
 
-    Each interval is exploded into the chunk ids it touches, equi-joined on
-    (chrom, chunk_id), each piece is cut from its chunk and the pieces are
-    re-assembled in chunk order.  Unknown chromosome -> '' ; an end past the
-    sequence truncates.  ``intervals`` needs a unique ``row_idx``.
+    Intervals no longer than a chunk touch at most two chunks: they take two
+    left equi-joins on (chrom, chunk_id) and concatenate the two pieces, with
+    no regrouping.  Longer intervals are exploded into the chunk ids they
+    touch, joined, and re-assembled in chunk order.
     """
-    iv = intervals.select(
+    length = F.col("end") - F.col("start")
+    short = intervals.where(length <= chunk)
+    long = intervals.where(length > chunk)
+
+    c1 = chunks.select("chrom", F.col("chunk_id").alias("_c1"), F.col("chunk_start").alias("_s1"), F.col("seq").alias("_q1"))
+    c2 = chunks.select(F.col("chrom").alias("_chrom2"), F.col("chunk_id").alias("_c2"), F.col("chunk_start").alias("_s2"), F.col("seq").alias("_q2"))
+    first = (F.col("start") / chunk).cast("int")
+    last = ((F.col("end") - 1) / chunk).cast("int")
+    k = short.withColumn("_k1", first).withColumn("_k2", F.when(last != first, last))
+    j = k.join(c1, (k["chrom"] == c1["chrom"]) & (k["_k1"] == c1["_c1"]), "left").drop(c1["chrom"])
+    j = j.join(c2, (j["chrom"] == c2["_chrom2"]) & (j["_k2"] == c2["_c2"]), "left")
+    p1 = F.expr("substring(_q1, cast(start - _s1 + 1 as int), cast(least(`end`, _s1 + length(_q1)) - start as int))")
+    p2 = F.expr("substring(_q2, 1, cast(least(`end`, _s2 + length(_q2)) - _s2 as int))")
+    piece = F.when(F.col("end") <= F.col("start"), F.lit("")).otherwise(F.concat(F.coalesce(p1, F.lit("")), F.coalesce(p2, F.lit(""))))
+    short_out = j.select(*intervals.columns, F.upper(piece).alias("seq"))
+
+    iv = long.select(
         "row_idx", "chrom", "start", "end",
-        F.explode(
-            F.when(F.col("end") > F.col("start"),
-                   F.sequence((F.col("start") / chunk).cast("int"), ((F.col("end") - 1) / chunk).cast("int")))
-            .otherwise(F.array().cast("array<int>"))
-        ).alias("chunk_id"),
+        F.explode(F.sequence((F.col("start") / chunk).cast("int"), ((F.col("end") - 1) / chunk).cast("int"))).alias("chunk_id"),
     )
     c = chunks.select("chrom", "chunk_id", "chunk_start", F.col("seq").alias("_cseq"))
     pieces = iv.join(c, ["chrom", "chunk_id"]).select(
@@ -71,7 +84,8 @@ def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int) -> Da
     assembled = pieces.groupBy("row_idx").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", "piece"))), lambda x: x["piece"]), "").alias("seq")
     )
-    return intervals.join(assembled, "row_idx", "left").withColumn("seq", F.upper(F.coalesce(F.col("seq"), F.lit(""))))
+    long_out = long.join(assembled, "row_idx", "left").withColumn("seq", F.upper(F.coalesce(F.col("seq"), F.lit(""))))
+    return short_out.unionByName(long_out.select(*intervals.columns, "seq"))
 
 
 def overlap_expand(intervals: DataFrame, region_chrom: str, region_start: int, region_end: int) -> DataFrame:
