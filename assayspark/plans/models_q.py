@@ -42,12 +42,13 @@ def _split_samples(spark, d):
 def prepared_features(spark, d, var_threshold: float = 0.005, top_n: int = 32):
     """3.1 feature preparation in long form: split, select (M03/W02) on train, impute (M01), scale (M02), assemble."""
     m = view(spark, d, "matrix")
-    split = _split_samples(spark, d)
+    split = _split_samples(spark, d).persist()  # reused by the joins below and for the labels
     m = m.join(split.select("sample", "split"), "sample")
     train, test = m.where(F.col("split") == "train"), m.where(F.col("split") == "val")
-    sel = S.variance_select(train, var_threshold, top_n).where("selected").select("feature")
-    train = train.join(F.broadcast(sel), "feature", "left_semi")
-    test = test.join(F.broadcast(sel), "feature", "left_semi")
+    # The selected list has at most top_n names: fetch it once and filter with a literal IN list.
+    sel = [r["feature"] for r in S.variance_select(train, var_threshold, top_n).where("selected").select("feature").collect()]
+    train = train.where(F.col("feature").isin(sel))
+    test = test.where(F.col("feature").isin(sel))
     test = ML.impute_median(train, test)
     z_test = S.standardize(train, test)
     z_train = S.standardize(train, train)
