@@ -323,3 +323,41 @@ def m01_median_imputer(spark, d):
     out = impute_median(m.where("split = 'train'"), m.where("split = 'test'"))
     return out.select("feature", "sample", "row_idx", "dataset", "value")
 
+
+
+KNN_SQL = f"""WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+                         ({K.arith_hash_sql('vec_id', '3')}) % 2 AS side FROM embeddings),
+     pairs AS (SELECT q.vec_id AS q_id, r.vec_id AS r_id, r.label,
+                      sqrt(list_sum(list_transform(range(64), lambda i: (q.v[i + 1] - r.v[i + 1]) * (q.v[i + 1] - r.v[i + 1])))) AS dist
+               FROM e q JOIN e r ON q.side = 1 AND r.side = 0),
+     nn AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dist, r_id) AS rank FROM pairs)"""
+
+
+def _knn(spark, d, k: int = 5):
+    from assayspark.operators.knn import knn_join
+
+    e = table(spark, d, "embeddings").select(
+        "vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"),
+        (K.arith_hash(F.col("vec_id"), F.lit(3)) % 2).alias("side"),
+    )
+    return knn_join(e.where("side = 1"), e.where("side = 0"), k, q_id="vec_id", r_id="vec_id", vec="v", r_label="label")
+
+
+@query(
+    "j16_knn_join",
+    f"""{KNN_SQL} SELECT q_id, r_id, CAST(rank AS INTEGER) AS rank, round(dist, 4) AS dist FROM nn WHERE rank <= 5""",
+)
+def j16_knn_join(spark, d):
+    """Exact 5-nearest reference cells for every query cell (block nested loop, k best per block)."""
+    return _knn(spark, d).select("q_id", "r_id", "rank", F.round("dist", 4).alias("dist"))
+
+
+@query(
+    "m15_knn_classifier",
+    f"""{KNN_SQL}, votes AS (SELECT q_id, label, count(*) AS n FROM nn WHERE rank <= 5 GROUP BY 1, 2)
+        SELECT q_id, CAST(arg_min(label, (-n, label)) AS BIGINT) AS pred FROM votes GROUP BY q_id""",
+)
+def m15_knn_classifier(spark, d):
+    from assayspark.operators.knn import knn_classify
+
+    return knn_classify(_knn(spark, d))
