@@ -50,6 +50,9 @@ def test_query_matches_oracle(spark, duck, name):
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     assert _digest(df.columns, srows) == _digest(dcols, drows)
+    # Scale guard: no pair-producing physical join in any registered plan.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
 
 
 def test_every_query_has_a_name_prefix_from_the_inventory():
