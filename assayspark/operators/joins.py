@@ -46,36 +46,32 @@ def membership_label(df: DataFrame, members: DataFrame, col: str, out: str = "la
     return j.withColumn(out, F.col("_m").isNotNull().cast("int")).drop("_m")
 
 
-def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int) -> DataFrame:
+def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int, halo: int = 0) -> DataFrame:
     """BED interval -> upper-case sequence slice from a chunked genome (unknown chromosome -> '',
     an end past the sequence truncates).  ``intervals`` needs a unique ``row_idx``.
 
-    Intervals no longer than a chunk touch at most two chunks: they take two
-    left equi-joins on (chrom, chunk_id) and concatenate the two pieces, with
-    no regrouping.  Longer intervals are exploded into the chunk ids they
-    touch, joined, and re-assembled in chunk order.
+    Chunk rows hold ``chunk`` bases plus a ``halo`` of the following bases, so
+    an interval of length <= halo + 1 lies inside the chunk where it starts:
+    one equi-join on (chrom, start div chunk) and a substring, no regrouping.
+    Longer intervals are exploded into the chunk ids they touch, joined, cut
+    from the chunk cores and re-assembled in chunk order.
     """
     length = F.col("end") - F.col("start")
-    short = intervals.where(length <= chunk)
-    long = intervals.where(length > chunk)
-
-    c1 = chunks.select("chrom", F.col("chunk_id").alias("_c1"), F.col("chunk_start").alias("_s1"), F.col("seq").alias("_q1"))
-    c2 = chunks.select(F.col("chrom").alias("_chrom2"), F.col("chunk_id").alias("_c2"), F.col("chunk_start").alias("_s2"), F.col("seq").alias("_q2"))
-    first = (F.col("start") / chunk).cast("int")
-    last = ((F.col("end") - 1) / chunk).cast("int")
-    k = short.withColumn("_k1", first).withColumn("_k2", F.when(last != first, last))
-    j = k.join(c1, (k["chrom"] == c1["chrom"]) & (k["_k1"] == c1["_c1"]), "left").drop(c1["chrom"])
-    j = j.join(c2, (j["chrom"] == c2["_chrom2"]) & (j["_k2"] == c2["_c2"]), "left")
+    short = intervals.where(length <= halo + 1)
+    long = intervals.where(length > halo + 1)
+
+    c1 = chunks.select(F.col("chrom").alias("_chrom1"), F.col("chunk_id").alias("_c1"), F.col("chunk_start").alias("_s1"), F.col("seq").alias("_q1"))
+    k = short.withColumn("_k1", (F.col("start") / chunk).cast("int"))
+    j = k.join(c1, (k["chrom"] == c1["_chrom1"]) & (k["_k1"] == c1["_c1"]), "left")
     p1 = F.expr("substring(_q1, cast(start - _s1 + 1 as int), cast(least(`end`, _s1 + length(_q1)) - start as int))")
-    p2 = F.expr("substring(_q2, 1, cast(least(`end`, _s2 + length(_q2)) - _s2 as int))")
-    piece = F.when(F.col("end") <= F.col("start"), F.lit("")).otherwise(F.concat(F.coalesce(p1, F.lit("")), F.coalesce(p2, F.lit(""))))
+    piece = F.when(F.col("end") <= F.col("start"), F.lit("")).otherwise(F.coalesce(p1, F.lit("")))
     short_out = j.select(*intervals.columns, F.upper(piece).alias("seq"))
 
     iv = long.select(
         "row_idx", "chrom", "start", "end",
         F.explode(F.sequence((F.col("start") / chunk).cast("int"), ((F.col("end") - 1) / chunk).cast("int"))).alias("chunk_id"),
     )
-    c = chunks.select("chrom", "chunk_id", "chunk_start", F.col("seq").alias("_cseq"))
+    c = chunks.select("chrom", "chunk_id", "chunk_start", F.substring(F.col("seq"), 1, chunk).alias("_cseq"))
     pieces = iv.join(c, ["chrom", "chunk_id"]).select(
         "row_idx", "chunk_id",
         F.expr("substring(_cseq, cast(greatest(start - chunk_start, 0) + 1 as int), "

@@ -135,14 +135,16 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return recs.select(name.alias("chrom"), F.regexp_replace(seq, "\\s", "").alias("seq"))
 
 
-def chunk_genome(genome: DataFrame, chunk: int) -> DataFrame:
-    """Fixed-size chunks (chrom, chunk_id, chunk_start, seq) so no later row holds a whole chromosome."""
-    g = genome.where(F.length("seq") > 0)
+def chunk_genome(genome: DataFrame, chunk: int, halo: int = 0) -> DataFrame:
+    """Fixed-size chunks (chrom, chunk_id, chunk_start, seq) so no later row holds a whole chromosome;
+    each chunk also carries the next ``halo`` bases (see :func:`assayspark.operators.joins.extract_sequences`)."""
     n = F.length("seq")
-    x = g.select("chrom", "seq", F.explode(F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("int"))).alias("chunk_id"))
+    # Empty sequences explode to nothing (no filter, which would be inlined and recompute ``seq``).
+    ids = F.when(n > 0, F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("int"))).otherwise(F.array().cast("array<int>"))
+    x = genome.select("chrom", "seq", F.explode(ids).alias("chunk_id"))
     return x.select(
         "chrom", "chunk_id", (F.col("chunk_id").cast("long") * chunk).alias("chunk_start"),
-        F.substring(F.col("seq"), F.col("chunk_id") * chunk + 1, F.lit(chunk)).alias("seq"),
+        F.substring(F.col("seq"), F.col("chunk_id") * chunk + 1, F.lit(chunk + halo)).alias("seq"),
     )
 
 

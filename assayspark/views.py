@@ -18,6 +18,7 @@ from assayspark.session import table
 # Geometry of the sequence stand-in.
 WINDOW_BP = 500          # BED window width and step (windows tile each sequence)
 CHUNK_BP = 4096          # genome chunk size for the chunked layout
+HALO_BP = 1024           # bases of the next chunk carried by each chunk row
 UNKNOWN_CHROM_EVERY = 25  # one window on an unknown chromosome per this many docs
 
 
@@ -144,20 +145,12 @@ def genome(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def genome_chunks(spark: SparkSession, d: str, chunk: int = CHUNK_BP) -> DataFrame:
-    """Chunked genome layout (chrom, chunk_id, chunk_start, seq): no row holds a whole chromosome."""
-    g = genome(spark, d).where(F.length("seq") > 0)
-    n = F.length("seq")
-    return g.select(
-        "chrom",
-        F.explode(F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("int"))).alias("chunk_id"),
-        "seq",
-    ).select(
-        "chrom",
-        "chunk_id",
-        (F.col("chunk_id").cast("long") * chunk).alias("chunk_start"),
-        F.substring(F.col("seq"), F.col("chunk_id") * chunk + 1, F.lit(chunk)).alias("seq"),
-    )
+def genome_chunks(spark: SparkSession, d: str, chunk: int = CHUNK_BP, halo: int = HALO_BP) -> DataFrame:
+    """Chunked genome layout (chrom, chunk_id, chunk_start, seq): no row holds a whole chromosome;
+    each row has ``chunk`` bases plus the next ``halo`` bases."""
+    from assayspark.sources.files import chunk_genome
+
+    return chunk_genome(genome(spark, d), chunk, halo)
 
 
 def bed(spark: SparkSession, d: str, width: int = WINDOW_BP) -> DataFrame:
@@ -167,11 +160,11 @@ def bed(spark: SparkSession, d: str, width: int = WINDOW_BP) -> DataFrame:
     past its end; windows on ``chrUn*`` have no sequence.
     """
     doc = table(spark, d, "documents").select("doc_id", "text")
-    n = F.length(fold_acgt(F.col("text")))
-    tiles = doc.where(n > 0).select(
-        "doc_id",
-        F.explode(F.sequence(F.lit(0), ((n - 1) / F.lit(width)).cast("int"))).alias("i"),
-    ).select(
+    # Length first (one fold per text), then the window ids; no filter, which would be inlined and fold twice.
+    lens = doc.select("doc_id", F.length(fold_acgt(F.col("text"))).alias("n"))
+    n = F.col("n")
+    ids = F.when(n > 0, F.sequence(F.lit(0), ((n - 1) / F.lit(width)).cast("int"))).otherwise(F.array().cast("array<int>"))
+    tiles = lens.select("doc_id", F.explode(ids).alias("i")).select(
         (F.col("doc_id") * 1_000_000 + F.col("i")).alias("row_idx"),
         F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("chrom"),
         (F.col("i").cast("long") * width).alias("start"),

@@ -124,8 +124,9 @@ def test_extract_sequences_unknown_chrom_and_truncation(spark):
 
     g = spark.createDataFrame([("c1", "acgtacgtac")], "chrom string, seq string")
     bed = spark.createDataFrame([(0, "c1", 2, 6), (1, "c1", 8, 20), (2, "cX", 0, 4), (3, "c1", 5, 5)], "row_idx long, chrom string, start long, end long")
-    out = {r.row_idx: r.seq for r in extract_sequences(bed, chunk_genome(g, 3), 3).collect()}
-    assert out == {0: "GTAC", 1: "AC", 2: "", 3: ""}
+    for halo in (0, 2):
+        out = {r.row_idx: r.seq for r in extract_sequences(bed, chunk_genome(g, 3, halo), 3, halo).collect()}
+        assert out == {0: "GTAC", 1: "AC", 2: "", 3: ""}
 
 
 def test_reverse_complement_involution(spark):
