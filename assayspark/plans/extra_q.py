@@ -99,7 +99,7 @@ def s11_s12_j11_manifest_images(spark, d):
 
 @query(
     "s13_token_parquet",
-    """SELECT count(*) AS n, sum(length(s)) AS n_tokens FROM strings
+    """SELECT count(*) AS n, CAST(sum(length(s)) AS BIGINT) AS n_tokens FROM strings
        WHERE length(s) > 0 AND length(s) < 150 AND length(translate(s, 'C(=O)[-]N+1P234S#567HIBF89', '')) = 0""",
     ("strings",),
 )

@@ -57,7 +57,7 @@ def s02_s03_comment_first_line(spark, d):
 
 @query(
     "s05_gzip_lines",
-    """SELECT count(*) AS n, sum(length(s)) AS total_len FROM strings""",
+    """SELECT count(*) AS n, CAST(sum(length(s)) AS BIGINT) AS total_len FROM strings""",
     ("strings",),
 )
 def s05_gzip_lines(spark, d):
@@ -78,7 +78,7 @@ def s07_fasta_roundtrip(spark, d):
     wrapped = F.regexp_replace(F.col("seq"), "(.{60})", "$1\n")
     g.select(F.concat(F.lit(">"), F.col("chrom"), F.lit(" stand-in\n"), wrapped).alias("value")).write.text(path)
     fa = R.read_fasta(spark, path)
-    return fa.select("chrom", F.length("seq").alias("len"), F.md5("seq").alias("seq_md5"))
+    return fa.select("chrom", F.length("seq").cast("long").alias("len"), F.md5("seq").alias("seq_md5"))
 
 
 @query(

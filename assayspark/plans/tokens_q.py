@@ -77,7 +77,7 @@ def f11_w05_guard_and_mask(spark, d):
     return v.select(
         "row_idx",
         K.decode_guarded(tok).alias("decoded"),
-        F.aggregate(K.mask_to_first_eos(enc), F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+        F.aggregate(K.mask_to_first_eos(enc), F.lit(0), lambda a, x: a + x).cast("long").alias("mask_sum"),
     )
 
 
@@ -101,7 +101,7 @@ def f17_f18_well_formed(spark, d):
 )
 def a27_length_profile(spark, d):
     p = P.length_profile(view(spark, d, "strings"))
-    return p.select("n", "min_len", "max_len", F.round("mean_len", 6).alias("mean_len"), F.col("median_len").cast("double").alias("median_len"),
+    return p.select("n", F.col("min_len").cast("long").alias("min_len"), F.col("max_len").cast("long").alias("max_len"), F.round("mean_len", 6).alias("mean_len"), F.col("median_len").cast("double").alias("median_len"),
                     F.round("share_lt_50", 6).alias("share_lt_50"), F.round("share_lt_100", 6).alias("share_lt_100"))
 
 
