@@ -54,8 +54,9 @@ def p13_a29_valid_counts(spark, d):
     ("strings",),
 )
 def f09_f10_encode_decode(spark, d):
-    v = valid_strings(spark, d)
-    enc = K.encode(F.col("s"), MAXLEN)
+    # Encode once into a column; later expressions reference it instead of re-encoding.
+    v = valid_strings(spark, d).select("row_idx", "s", K.encode(F.col("s"), MAXLEN).alias("enc"))
+    enc = F.col("enc")
     return v.select(
         "row_idx",
         F.md5(F.array_join(F.transform(enc, lambda x: x.cast("string")), ",")).alias("enc_md5"),
@@ -70,14 +71,13 @@ def f09_f10_encode_decode(spark, d):
     ("strings",),
 )
 def f11_w05_guard_and_mask(spark, d):
-    v = valid_strings(spark, d)
-    enc = K.encode(F.col("s"), MAXLEN)
+    v = valid_strings(spark, d).select("row_idx", K.encode(F.col("s"), MAXLEN).alias("enc"))
     # SOS injected after the EOS on every 5th row: the guard must still see it.
-    tok = F.transform(enc, lambda t, i: F.when((i == MAXLEN - 1) & (F.col("row_idx") % 5 == 0), F.lit(K.SOS)).otherwise(t))
+    v = v.withColumn("tok", F.transform("enc", lambda t, i: F.when((i == MAXLEN - 1) & (F.col("row_idx") % 5 == 0), F.lit(K.SOS)).otherwise(t)))
     return v.select(
         "row_idx",
-        K.decode_guarded(tok).alias("decoded"),
-        F.aggregate(K.mask_to_first_eos(enc), F.lit(0), lambda a, x: a + x).cast("long").alias("mask_sum"),
+        K.decode_guarded(F.col("tok")).alias("decoded"),
+        F.aggregate(K.mask_to_first_eos(F.col("enc")), F.lit(0), lambda a, x: a + x).cast("long").alias("mask_sum"),
     )
 
 
