@@ -108,7 +108,8 @@ def cumulative_weights(df: DataFrame, id_col: str, weight: str) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, id_col).withColumn("_pid", F.spark_partition_id())
     wl = Window.partitionBy("_pid").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumn("_run", F.sum(weight).over(wl))
+    # One materialised partitioning for both the running sums and the per-task totals (see row_number_within).
+    r = r.withColumn("_run", F.sum(weight).over(wl)).checkpoint(eager=True)
     tot = r.groupBy("_pid").agg(F.sum(weight).alias("_t"))
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     j = r.join(off.select(F.col("_pid").alias("_opid"), "_off"), F.col("_pid") == F.col("_opid"))

@@ -63,7 +63,10 @@ def running_sum_within(
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
     ltype = T.DoubleType() if value else T.LongType()
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", ltype)])
-    numbered = ranged.mapInPandas(_local_running(keys, value), schema)
+    # Written once to the checkpoint folder: the per-task slices and the offset table must come from
+    # one and the same range partitioning (a recomputation could sample different range bounds when the
+    # input order is not stable, e.g. after a shuffle), and a lost executor then re-reads, not re-ranges.
+    numbered = ranged.mapInPandas(_local_running(keys, value), schema).checkpoint(eager=True)
     counts = numbered.groupBy("_pid", *keys).agg(F.max_by("_local", F.struct(*order)).alias("_cnt"))
     w = Window.partitionBy(*keys).orderBy("_pid") if keys else Window.orderBy("_pid")
     zero = F.lit(0.0) if value else F.lit(0)

@@ -248,3 +248,12 @@ def test_nmf_nonnegative_and_error_decreases(spark):
     assert (res.H >= 0).all()
     w = np.array([r.w for r in res.W().collect()])
     assert (w >= 0).all()
+
+
+def test_exact_split_after_shuffle_is_exact(spark):
+    # Input order after a shuffle is not stable between evaluations; the split size must still be exact.
+    base = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("g"))
+    shuffled = base.join(base.groupBy("g").count(), "g").repartition(5)
+    for _ in range(2):
+        out = X.exact_split(shuffled, "id", 0.2, seed=1)
+        assert out.where("split = 'val'").count() == 600
