@@ -146,6 +146,9 @@ def _resolve(table: pa.Table, length: int) -> pa.Table:
         rest = order[new & (kinds[group] > 1)]
         for part in _parts(khash[rest], count[rest]):
             _windows(rest[part], data, begin, count, doc, masks, length)
+        # Equal spans of the same document share the answer of their first.
+        again = doc[order] == doc[head]
+        masks[order[again]] = masks[head[again]]
     out, i = [], 0
     for block, m, at, done_at, done_count in zip(
         table.column("block").to_pylist(), sizes, unpack(table.column("at"), np.int64), unpack(table.column("done_at"), np.int64), unpack(table.column("done_count"), np.uint8), strict=True
@@ -172,15 +175,16 @@ PART = 1 << 20
 
 def _parts(khash: np.ndarray, count: np.ndarray):
     """Slices of whole run hashes with about ``PART`` string starts each."""
-    first = np.flatnonzero(np.concatenate([[True], khash[1:] != khash[:-1]])) if len(khash) else np.zeros(0, np.int64)
+    if not len(khash):
+        return
+    first = np.flatnonzero(np.concatenate([[True], khash[1:] != khash[:-1]]))
     done = np.concatenate([[0], np.cumsum(count)])
     lo = 0
     for f, g in zip(first, np.append(first[1:], len(khash)), strict=True):
         if done[g] - done[lo] > PART and f > lo:
             yield slice(lo, f)
             lo = f
-    if lo < len(khash):
-        yield slice(lo, len(khash))
+    yield slice(lo, len(khash))
 
 
 def _windows(rows: np.ndarray, data: bytes, begin: np.ndarray, count: np.ndarray, doc: np.ndarray, masks: np.ndarray, length: int) -> None:
