@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayspark.functions.tokens import HASH_MOD, arith_hash
+
 # The 13 class names of the image data set, in label-id order (0..12).
 LABELS = [
     "Actin_disruptors",
@@ -76,9 +78,8 @@ def flip_v(channels: Column, w: int) -> Column:
 
 
 def hash_uniform(*cols: Column, seed: int = 42) -> Column:
-    """Reproducible U[0,1) draw from key columns (independent of partitioning)."""
-    h = F.xxhash64(*cols, F.lit(seed))
-    return (F.pmod(h, F.lit(1 << 30)).cast("double")) / float(1 << 30)
+    """Reproducible U[0,1) draw from key columns (independent of partitioning, and the same in SQL)."""
+    return arith_hash(*cols, F.lit(seed)) / float(HASH_MOD)
 
 
 def _bilinear_matrix(n_in: int, n_out: int) -> np.ndarray:

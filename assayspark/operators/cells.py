@@ -31,7 +31,25 @@ def dispersion_hvg(m: DataFrame, n_top: int, n_bins: int = 20, feature: str = "f
     st = st.join(per_bin, "bin").withColumn("z", z).drop("_bm", "_bs")
     # Ranked on z rounded to 1e-9 so genes tied in exact arithmetic stay tied (then by gene).
     top = st.where(F.col("z").isNotNull()).orderBy(F.desc(F.round("z", 9)), F.asc(feature)).limit(n_top).select(feature, F.lit(True).alias("highly_variable"))
-    return st.join(F.broadcast(top), feature, "left").withColumn("highly_variable", F.coalesce("highly_variable", F.lit(False)))
+    return st.join(top, feature, "left").withColumn("highly_variable", F.coalesce("highly_variable", F.lit(False)))
+
+
+def normalised_variance_hvg(m: DataFrame, n_top: int, n_bins: int = 20, feature: str = "feature", value: str = "raw_value") -> DataFrame:
+    """W08, raw-count flavour: variable genes by the variance of counts relative to that of genes with a similar mean.
+
+    Per gene: mean and sample variance of the raw values; genes are put in
+    ``n_bins`` equal-width bins of ln(1 + mean); the expected variance of a gene
+    is the mean variance of its bin; the top ``n_top`` genes by
+    variance / expected (ties by gene) are flagged.
+    """
+    st = m.groupBy(feature).agg(F.avg(value).alias("mean"), F.var_samp(value).alias("var")).withColumn("_lm", F.log1p("mean"))
+    lo, hi = st.agg(F.min("_lm")).scalar(), st.agg(F.max("_lm")).scalar()
+    raw = F.floor((F.col("_lm") - lo) / (hi - lo) * n_bins) + 1
+    st = st.withColumn("bin", F.least(raw, F.lit(n_bins)).cast("int"))
+    per_bin = st.groupBy("bin").agg(F.avg("var").alias("_e"))
+    st = st.join(per_bin, "bin").withColumn("ratio", F.when(F.col("_e") > 0, F.col("var") / F.col("_e")).otherwise(F.lit(0.0))).drop("_e", "_lm")
+    top = st.orderBy(F.desc(F.round("ratio", 9)), F.asc(feature)).limit(n_top).select(feature, F.lit(True).alias("highly_variable"))
+    return st.join(top, feature, "left").withColumn("highly_variable", F.coalesce("highly_variable", F.lit(False)))
 
 
 def select_genes(m: DataFrame, var: DataFrame, n_top: int, feature: str = "feature") -> DataFrame:

@@ -9,10 +9,14 @@ predicates are turned into equi-joins on a bucket id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from assayspark.session import scratch_path
 
 
 def annotate(df: DataFrame, ref: DataFrame, key: str, ref_key: str, ref_value: str, out: str, keep_original: str | None = None) -> DataFrame:
@@ -46,31 +50,15 @@ def membership_label(df: DataFrame, members: DataFrame, col: str, out: str = "la
     return j.withColumn(out, F.col("_m").isNotNull().cast("int")).drop("_m")
 
 
-def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int, halo: int = 0) -> DataFrame:
+def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int) -> DataFrame:
     """BED interval -> upper-case sequence slice from a chunked genome (unknown chromosome -> '',
     an end past the sequence truncates).  ``intervals`` needs a unique ``row_idx``.
 
-    Chunk rows hold ``chunk`` bases plus a ``halo`` of the following bases, so
-    an interval of length <= halo + 1 lies inside the chunk where it starts:
-    one equi-join on (chrom, start div chunk) and a substring, no regrouping.
-    Longer intervals are exploded into the chunk ids they touch, joined, cut
-    from the chunk cores and re-assembled in chunk order.
+    An interval is exploded into the chunk ids it touches and joined to the
+    chunk cores on (chrom, chunk_id); its pieces are put together in order.
     """
-    length = F.col("end") - F.col("start")
-    short = intervals.where(length <= halo + 1)
-    long = intervals.where(length > halo + 1)
-
-    c1 = chunks.select(F.col("chrom").alias("_chrom1"), F.col("chunk_id").alias("_c1"), F.col("chunk_start").alias("_s1"), F.col("seq").alias("_q1"))
-    k = short.withColumn("_k1", (F.col("start") / chunk).cast("int"))
-    j = k.join(c1, (k["chrom"] == c1["_chrom1"]) & (k["_k1"] == c1["_c1"]), "left")
-    p1 = F.expr("substring(_q1, cast(start - _s1 + 1 as int), cast(least(`end`, _s1 + length(_q1)) - start as int))")
-    piece = F.when(F.col("end") <= F.col("start"), F.lit("")).otherwise(F.coalesce(p1, F.lit("")))
-    short_out = j.select(*intervals.columns, F.upper(piece).alias("seq"))
-
-    iv = long.select(
-        "row_idx", "chrom", "start", "end",
-        F.explode(F.sequence((F.col("start") / chunk).cast("int"), ((F.col("end") - 1) / chunk).cast("int"))).alias("chunk_id"),
-    )
+    ids = F.when(F.col("end") > F.col("start"), F.sequence((F.col("start") / chunk).cast("int"), ((F.col("end") - 1) / chunk).cast("int")))
+    iv = intervals.select("row_idx", "chrom", "start", "end", F.explode(ids).alias("chunk_id"))
     c = chunks.select("chrom", "chunk_id", "chunk_start", F.substring(F.col("seq"), 1, chunk).alias("_cseq"))
     pieces = iv.join(c, ["chrom", "chunk_id"]).select(
         "row_idx", "chunk_id",
@@ -80,8 +68,7 @@ def extract_sequences(intervals: DataFrame, chunks: DataFrame, chunk: int, halo:
     assembled = pieces.groupBy("row_idx").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_id", "piece"))), lambda x: x["piece"]), "").alias("seq")
     )
-    long_out = long.join(assembled, "row_idx", "left").withColumn("seq", F.upper(F.coalesce(F.col("seq"), F.lit(""))))
-    return short_out.unionByName(long_out.select(*intervals.columns, "seq"))
+    return intervals.join(assembled, "row_idx", "left").select(*intervals.columns, F.upper(F.coalesce("seq", F.lit(""))).alias("seq"))
 
 
 def overlap_expand(intervals: DataFrame, region_chrom: str, region_start: int, region_end: int) -> DataFrame:
@@ -95,14 +82,31 @@ def overlap_expand(intervals: DataFrame, region_chrom: str, region_start: int, r
     )
 
 
-def band_join(draws: DataFrame, bands: DataFrame, u: str, lo: str, hi: str, bucket: float) -> DataFrame:
-    """Join each draw ``u`` to the band with lo <= u < hi, as an equi-join on floor(x / bucket).
+def band_join(draws: DataFrame, bands: DataFrame, u: str, lo: str, hi: str) -> DataFrame:
+    """Join each draw ``u`` to the band with lo <= u < hi; the bands are disjoint.
 
-    Bands are exploded into the buckets they cover, so the join never becomes
-    a nested loop; each draw matches exactly one band.
+    Draws and band starts are range-partitioned together, and a draw takes the
+    last band that starts at or before it in its task; for the draws ahead of a
+    task's first band, a table of one row per task holds the last band of the
+    tasks before.  So many draws in one wide band, or one band with nearly all
+    the weight, still spread over the tasks and nothing is exploded.
     """
-    b = bands.withColumn(
-        "_bk", F.explode(F.sequence(F.floor(F.col(lo) / bucket).cast("long"), F.floor(F.col(hi) / bucket).cast("long")))
+    spark = draws.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    b, d = bands.select(F.struct("*").alias("b")), draws.select(F.struct("*").alias("d"))
+    none = lambda df: F.lit(None).cast(df.schema[0].dataType)
+    both = b.select("b", none(d).alias("d"), F.col("b")[lo].alias("x"), F.lit(0).alias("o")).unionByName(
+        d.select(none(b).alias("b"), "d", F.col("d")[u].alias("x"), F.lit(1).alias("o"))
     )
-    d = draws.withColumn("_bk", F.floor(F.col(u) / bucket).cast("long"))
-    return d.join(b, "_bk").where((F.col(u) >= F.col(lo)) & (F.col(u) < F.col(hi))).drop("_bk")
+    ranged = both.repartitionByRange(n, "x").withColumn("t", F.spark_partition_id())
+    w = Window.partitionBy("t").orderBy("x", "o").rowsBetween(Window.unboundedPreceding, 0)
+    # Written once, so that the rows and the table of last bands come from the same partitioning.
+    path = scratch_path(spark, f"band-join-{uuid.uuid4().hex}")
+    ranged.select("d", "t", "x", F.col("b").isNotNull().alias("is_band"), F.last("b", ignorenulls=True).over(w).alias("b")).write.parquet(path)
+    done = spark.read.parquet(path)
+    ends = done.groupBy("t").agg(F.max_by("b", F.when(F.col("is_band"), F.col("x"))).alias("last"))
+    before = F.last("last", ignorenulls=True).over(Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1))
+    carry = ends.select(F.col("t").alias("_t"), before.alias("carry"))
+    m = done.where(~F.col("is_band")).join(carry, F.col("t") == F.col("_t")).withColumn("b", F.coalesce("b", "carry"))
+    m = m.where((F.col("d")[u] >= F.col("b")[lo]) & (F.col("d")[u] < F.col("b")[hi]))
+    return m.select(*[F.col("d")[c].alias(c) for c in draws.columns], *[F.col("b")[c].alias(c) for c in bands.columns])

@@ -8,8 +8,13 @@ of being collected to the driver.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from assayspark.operators.windows import running_sum_within
 
 
 def _scalar(df: DataFrame, expr: Column) -> Column:
@@ -156,26 +161,65 @@ def mean_offdiag_corr(m: DataFrame, var: str = "feature", obs: str = "sample", v
     return s.agg(((F.sum(F.col("s") * F.col("s")) - n) / (n * (n - 1))).alias("mean_r"), n.cast("long").alias("n_vars"))
 
 
-def pairwise_corr(m: DataFrame, var: str = "feature", obs: str = "sample", value: str = "value") -> DataFrame:
-    """Pearson matrix between variables as long rows (var_i, var_j, r).
-
-    Built from one Gram aggregate over observation vectors (Spark ML
-    ``Correlation``), meant for up to a few thousand variables; the mean over a
-    wide side is :func:`mean_offdiag_corr`.
-    """
-    from pyspark.ml.stat import Correlation
-
-    from assayspark.operators.vectors import assemble_dense
+#: Variables per side of a block product, and observations per chunk.
+CORR_VARS, CORR_OBS = 256, 4096
 
-    vec, names = assemble_dense(m, row=obs, col=var, value=value)
-    mat = Correlation.corr(vec, "features").head()[0].toArray()
-    spark = m.sparkSession
-    rows = [(names[i], names[j], float(mat[i, j])) for i in range(len(names)) for j in range(len(names))]
-    return spark.createDataFrame(rows, f"{var}_i {_sql_type(m, var)}, {var}_j {_sql_type(m, var)}, r double")
 
+def pairwise_corr(m: DataFrame, var: str = "feature", obs: str = "sample", value: str = "value") -> DataFrame:
+    """Pearson matrix between variables as long rows (var_i, var_j, r), as a block matrix product.
+
+    Cells are standardised per variable, observations are cut into chunks and
+    variables into blocks, and each (chunk, block) becomes one packed matrix.
+    Two blocks of a chunk meet by an equi-join, their product is a partial block
+    of the result, and the partial blocks are summed per block pair; a task
+    never holds more than a block.  A variable without variance has no r.
+    Missing cells count as the variable's mean.
+    """
+    # One row per variable and per observation: their dense numbers.
+    number = lambda c, n: m.select(c).distinct().select(F.col(c).alias(f"_{n}v"), (F.row_number().over(Window.orderBy(c)) - 1).alias(f"_{n}"))
+    st = m.groupBy(var).agg(F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sd"), F.count(value).alias("_n")).where("_sd > 0")
+    vs, os_ = number(var, "i"), number(obs, "o")
+    z = (F.col(value) - F.col("_mu")) / (F.col("_sd") * F.sqrt(F.col("_n").cast("double")))
+    cells = m.join(st, var).join(vs, F.col(var) == F.col("_iv")).join(os_, F.col(obs) == F.col("_ov"))
+    cells = cells.where(F.col(value).isNotNull()).select(
+        F.floor(F.col("_o") / CORR_OBS).alias("c"), F.floor(F.col("_i") / CORR_VARS).alias("b"), (F.col("_o") % CORR_OBS).alias("o"), (F.col("_i") % CORR_VARS).alias("i"), z.alias("z")
+    )
 
-def _sql_type(df: DataFrame, col: str) -> str:
-    return df.schema[col].dataType.simpleString()
+    def pack(t: pa.Table) -> pa.Table:
+        x = np.zeros((CORR_OBS, CORR_VARS))
+        x[t.column("o").to_numpy(), t.column("i").to_numpy()] = t.column("z").to_numpy()
+        used = np.flatnonzero(x.any(axis=1))
+        top = int(used[-1]) + 1 if len(used) else 0
+        return pa.table({"c": t.column("c").slice(0, 1), "b": t.column("b").slice(0, 1), "x": pa.array([x[:top].tobytes()], pa.binary())})
+
+    packed = cells.groupBy("c", "b").applyInArrow(pack, "c long, b long, x binary")
+    left = packed.select(F.col("c").alias("c1"), F.col("b").alias("b1"), F.col("x").alias("x1"))
+    met = left.join(packed, (F.col("c1") == F.col("c")) & (F.col("b1") <= F.col("b"))).select("b1", "b", "x1", "x")
+
+    def multiply(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(j)[k].as_py()).reshape(-1, CORR_VARS) for j in (2, 3))
+                n = min(len(x), len(y))
+                p = x[:n].T @ y[:n]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([p.tobytes()], pa.binary())], names=["b1", "b", "p"])
+
+    parts = met.mapInArrow(multiply, "b1 long, b long, p binary")
+
+    def total(t: pa.Table) -> pa.Table:
+        p = sum(np.frombuffer(x.as_py()) for x in t.column("p")).reshape(CORR_VARS, CORR_VARS)
+        b1, b = t.column("b1")[0].as_py(), t.column("b")[0].as_py()
+        i, j = (a.ravel() for a in np.mgrid[0:CORR_VARS, 0:CORR_VARS])
+        i, j, r = i + b1 * CORR_VARS, j + b * CORR_VARS, p.ravel()
+        if b1 != b:
+            i, j, r = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([r, r])
+        return pa.table({"i": i, "j": j, "r": r})
+
+    long = parts.groupBy("b1", "b").applyInArrow(total, "i long, j long, r double")
+    live = vs.join(st.select(F.col(var).alias("_sv")), F.col("_iv") == F.col("_sv")).drop("_sv")
+    out = long.join(live.select(F.col("_iv").alias(f"{var}_i"), F.col("_i")), F.col("i") == F.col("_i")).drop("_i")
+    out = out.join(live.select(F.col("_iv").alias(f"{var}_j"), F.col("_i")), F.col("j") == F.col("_i"))
+    return out.select(f"{var}_i", f"{var}_j", "r")
 
 
 def fewest_missing(df: DataFrame, group: str, value: str, order: str | None = None) -> DataFrame:
@@ -187,9 +231,32 @@ def fewest_missing(df: DataFrame, group: str, value: str, order: str | None = No
     return per.agg(F.min_by(group, F.struct("n_missing", "_ord")).alias(group), F.min("n_missing").alias("n_missing"))
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles (linear between ranks) of ``value`` per key, NULLs left out: (keys, one column per ``probs`` entry).
+
+    Equal values are counted first, the counts are summed along each key by the
+    two-level running sum, and the values at the wanted ranks are picked by a
+    grouped minimum, so no task holds all values of a key.
+    """
+    per = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = running_sum_within(per, keys, ["_v"], "_c", "_upto")
+    total = run.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    if keys:
+        run = run.join(total.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n"), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    else:
+        run = run.withColumn("_n", total.select("_n").scalar())
+    ranks = {name: (F.col("_n") - 1) * F.lit(p) for name, p in probs.items()}
+    aggs = [F.max("_n").alias("_n")]
+    for name, r in ranks.items():
+        aggs += [F.min(F.when(F.col("_upto") > F.floor(r), F.col("_v"))).alias(f"_{name}_lo"), F.min(F.when(F.col("_upto") > F.ceil(r), F.col("_v"))).alias(f"_{name}_hi")]
+    got = run.groupBy(*keys).agg(*aggs)
+    lo, hi = (lambda n: F.col(f"_{n}_lo")), (lambda n: F.col(f"_{n}_hi"))
+    return got.select(*keys, *[(lo(n) + (hi(n) - lo(n)) * (r - F.floor(r))).alias(n) for n, r in ranks.items()])
+
+
 def median_impute(m: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
     """Fill missing cells with the exact median of their feature."""
-    med = m.groupBy(feature).agg(F.median(value).alias("_median"))
+    med = exact_quantiles(m, [feature], value, {"_median": 0.5})
     return m.join(med, feature, "left").withColumn(value, F.coalesce(F.col(value), F.col("_median"))).drop("_median")
 
 
@@ -239,26 +306,14 @@ def detected_in(m: DataFrame, min_cells: int = 3, feature: str = "feature", valu
     return m.join(keep.select(feature), feature, "left_semi")
 
 
-def unit_columns(m: DataFrame, col: str = "track", value: str = "value", eps: float = 1e-12) -> DataFrame:
-    """Divide each column by its L2 norm (+eps)."""
-    norms = m.groupBy(col).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_norm"))
-    return m.join(norms, col, "left").withColumn(value, F.col(value) / (F.col("_norm") + eps)).drop("_norm")
-
-
 def describe(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, sample sd, quartiles, min, max and population variance of one column."""
     v = F.col(value)
-    return df.agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.percentile(v, 0.25).alias("p25"),
-        F.percentile(v, 0.5).alias("p50"),
-        F.percentile(v, 0.75).alias("p75"),
-        F.max(v).alias("max"),
-        F.var_pop(v).alias("var_pop"),
+    one = df.agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.var_pop(v).alias("var_pop")
     )
+    q = exact_quantiles(df, [], value, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return one.select("count", "mean", "std", "min", *[q.select(p).scalar().alias(p) for p in ("p25", "p50", "p75")], "max", "var_pop")
 
 
 def class_counts(df: DataFrame, label: str, domain: DataFrame) -> DataFrame:
@@ -275,12 +330,13 @@ def label_counter(df: DataFrame, *cols: str) -> DataFrame:
 def length_profile(df: DataFrame, s: str = "s") -> DataFrame:
     """N, min, max, mean, median length and share under 50 / 100 characters."""
     n = F.length(s)
+    median = exact_quantiles(df.select(n.alias("_len")), [], "_len", {"m": 0.5}).select("m").scalar()
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(n).alias("min_len"),
         F.max(n).alias("max_len"),
         F.avg(n).alias("mean_len"),
-        F.median(n).alias("median_len"),
+        median.alias("median_len"),
         F.avg((n < 50).cast("double")).alias("share_lt_50"),
         F.avg((n < 100).cast("double")).alias("share_lt_100"),
     )

@@ -8,12 +8,15 @@ the rows is still spread over many tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from assayspark.functions.tokens import HASH_MOD, arith_hash
 from assayspark.operators.windows import row_number_within
+from assayspark.session import scratch_path
 
 
 def _with_hash(df: DataFrame, id_col: str, seed: int, hash_col: Column | None = None) -> DataFrame:
@@ -102,35 +105,42 @@ def cumulative_weights(df: DataFrame, id_col: str, weight: str) -> DataFrame:
 
     Rows are range-partitioned by id; each task sums its slice; the per-task
     totals (one row per task) get a prefix sum; each row adds its task offset to
-    a within-task running sum.  No window ever spans all rows.
+    a within-task running sum.  No window ever spans all rows.  A band begins at
+    the very number at which the one before it ends (the first of a task at the
+    task's offset, the last of a task at the next offset), so the bands leave no
+    gap and do not overlap, whatever the rounding.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, id_col).withColumn("_pid", F.spark_partition_id())
-    wl = Window.partitionBy("_pid").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
-    # One materialised partitioning for both the running sums and the per-task totals (see row_number_within).
-    r = r.withColumn("_run", F.sum(weight).over(wl)).checkpoint(eager=True)
-    tot = r.groupBy("_pid").agg(F.sum(weight).alias("_t"))
-    off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    j = r.join(off.select(F.col("_pid").alias("_opid"), "_off"), F.col("_pid") == F.col("_opid"))
-    return j.select(*df.columns, (F.col("_off") + F.col("_run") - F.col(weight)).alias("lo"), (F.col("_off") + F.col("_run")).alias("hi")).where(
-        F.col(weight) > 0
-    )
-
-
-def weighted_sample(df: DataFrame, id_col: str, weight: str, n_draws: int, seed: int = 42, bucket: float | None = None) -> DataFrame:
+    r = df.where(F.col(weight) > 0).select(id_col, F.col(weight).cast("double").alias("_w"), F.struct("*").alias("_row"))
+    r = r.repartitionByRange(n, id_col).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid").orderBy(id_col)
+    run = F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    # Written once: the running sums and the per-task totals must come from one and the same partitioning (see row_number_within).
+    path = scratch_path(spark, f"bands-{uuid.uuid4().hex}")
+    r.select("_row", "_pid", run.alias("_run"), F.lead(id_col).over(w).isNull().alias("_last"), F.col(id_col).alias("_id")).write.parquet(path)
+    r = spark.read.parquet(path)
+    tot = r.groupBy("_pid").agg(F.max("_run").alias("_t"))
+    line = Window.orderBy("_pid")
+    upto = F.sum("_t").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    off = tot.select(F.col("_pid").alias("_opid"), upto.alias("_end")).withColumn("_off", F.coalesce(F.lag("_end").over(Window.orderBy("_opid")), F.lit(0.0)))
+    j = r.join(off, F.col("_pid") == F.col("_opid"))
+    j = j.withColumn("hi", F.when(F.col("_last"), F.col("_end")).otherwise(F.col("_off") + F.col("_run")))
+    lo = F.coalesce(F.lag("hi").over(Window.partitionBy("_pid").orderBy("_id")), F.col("_off"))
+    return j.withColumn("lo", lo).select(*[F.col(f"_row.`{c}`").alias(c) for c in df.columns], "lo", "hi")
+
+
+def weighted_sample(df: DataFrame, id_col: str, weight: str, n_draws: int, seed: int = 42) -> DataFrame:
     """Exactly ``n_draws`` draws with replacement, P(row) proportional to its weight.
 
     Draw d takes u = hash(d, seed) / 2^31 * total and the row whose band holds
-    u; the band lookup is an equi-join on a bucket of u (J17).
+    u (J17).
     """
     from assayspark.operators.joins import band_join
 
-    bands = cumulative_weights(df, id_col, weight)
-    total = df.agg(F.sum(weight)).scalar()
     spark = df.sparkSession
+    bands = cumulative_weights(df, id_col, weight)
+    total = bands.agg(F.max("hi")).first()[0]  # the end of the last band, so every draw below it has one
     draws = spark.range(n_draws).select(F.col("id").alias("draw"))
     draws = draws.withColumn("u", arith_hash(F.col("draw"), F.lit(seed)) / float(HASH_MOD) * total)
-    # Bucket width = mean band width: the exploded band table has at most ~2x the rows of ``df``.
-    b = bucket if bucket is not None else total / df.agg(F.count(F.lit(1))).scalar()
-    return band_join(draws, bands, "u", "lo", "hi", b)
+    return band_join(draws, bands, "u", "lo", "hi")

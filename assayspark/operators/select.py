@@ -30,13 +30,13 @@ def variance_select(
 ) -> DataFrame:
     """M03 + W02: population variance > threshold, then the top_n by sample variance.
 
-    Returns every feature's stats with a ``selected`` flag; the selected set is
-    at most ``top_n`` rows, so joining it back is a bounded broadcast.
+    Returns every feature's stats with a ``selected`` flag; Spark picks the join
+    with the selected set (at most ``top_n`` rows) by its size.
     """
     stats = feature_stats(m, feature, value)
     top = top_n_by(stats.where(F.col("var_pop") > var_threshold), "var_samp", top_n, feature)
     flag = top.select(feature, F.lit(True).alias("selected"))
-    return stats.join(F.broadcast(flag), feature, "left").withColumn(
+    return stats.join(flag, feature, "left").withColumn(
         "selected", F.coalesce(F.col("selected"), F.lit(False))
     )
 

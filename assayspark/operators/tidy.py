@@ -30,11 +30,6 @@ def coerce_numeric(c: Column) -> Column:
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 
-def nan_to_null(c: Column) -> Column:
-    """NaN -> NULL so Spark aggregates skip it like pandas does."""
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def narrow(df: DataFrame, floats: Sequence[str] = (), ints: Sequence[str] = (), longs: Sequence[str] = ()) -> DataFrame:
     """Type narrowing to float32 / int / bigint."""
     for c in floats:
@@ -70,12 +65,6 @@ def clean_signal(c: Column) -> Column:
     return F.when(bad, F.lit(0.0)).otherwise(F.greatest(c, F.lit(0.0)))
 
 
-def valid_string(c: Column, alphabet: str, max_len: int) -> Column:
-    """0 < length < max_len and every character inside ``alphabet``."""
-    cls = "".join("\\" + ch if ch in "]\\^-[" else ch for ch in alphabet)
-    return (F.length(c) > 0) & (F.length(c) < max_len) & c.rlike(f"^[{cls}]+$")
-
-
 def map_labels(c: Column, mapping: dict[str, int]) -> Column:
     """Label text -> id; an unknown label fails the job (like a dict KeyError)."""
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])

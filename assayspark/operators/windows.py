@@ -8,6 +8,7 @@ per-(task, key) count table supplies the offsets (two-level prefix sum).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,29 +18,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from assayspark.session import scratch_path
+
 
 def _local_running(keys: list[str], value: str | None):
     """Per-task running count (or running sum of ``value``) over rows sorted by (keys, order)."""
 
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_hash, carried = None, 0.0
+        last_key, carried = None, 0.0
         for pdf in batches:
             if pdf.empty:
                 yield pdf.assign(_local=pd.Series([], dtype="float64" if value else "int64"))
                 continue
-            if keys:
-                h = pd.util.hash_pandas_object(pdf[keys], index=False).to_numpy()
-            else:
-                h = np.zeros(len(pdf), dtype="uint64")
-            change = np.empty(len(pdf), dtype=bool)
-            change[0] = last_hash is None or h[0] != last_hash
-            change[1:] = h[1:] != h[:-1]
-            run = np.cumsum(change)
+            key = list(pdf[keys].itertuples(index=False, name=None)) if keys else [()] * len(pdf)
+            same = np.ones(len(pdf), dtype=bool)
+            same[0] = last_key is not None and _same(key[0], last_key)
+            for k in keys:
+                # Equal neighbours, NULL equal to NULL: compared by value, so no two keys can be taken for one.
+                col = pdf[k]
+                here, before = col.iloc[1:].reset_index(drop=True), col.iloc[:-1].reset_index(drop=True)
+                same[1:] &= ((here == before) | (here.isna() & before.isna())).to_numpy(dtype=bool)
+            run = np.cumsum(~same)
             v = pdf[value].fillna(0).to_numpy(dtype=np.float64) if value else np.ones(len(pdf))
             local = pd.Series(v).groupby(run).cumsum().to_numpy()
-            if not change[0]:
+            if same[0]:
                 local[run == run[0]] += carried
-            last_hash = h[-1]
+            last_key = key[-1]
             carried = float(local[-1])
             out = local if value else np.rint(local).astype(np.int64)
             yield pdf.assign(_local=pd.Series(out, index=pdf.index))
@@ -47,6 +51,10 @@ def _local_running(keys: list[str], value: str | None):
     return fn
 
 
+def _same(a: tuple, b: tuple) -> bool:
+    return all(x == y or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b, strict=True))
+
+
 def running_sum_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None, name: str, partitions: int | None = None
 ) -> DataFrame:
@@ -63,10 +71,12 @@ def running_sum_within(
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
     ltype = T.DoubleType() if value else T.LongType()
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", ltype)])
-    # Written once to the checkpoint folder: the per-task slices and the offset table must come from
+    # Written once to the shared folder: the per-task slices and the offset table must come from
     # one and the same range partitioning (a recomputation could sample different range bounds when the
     # input order is not stable, e.g. after a shuffle), and a lost executor then re-reads, not re-ranges.
-    numbered = ranged.mapInPandas(_local_running(keys, value), schema).checkpoint(eager=True)
+    path = scratch_path(spark, f"running-{uuid.uuid4().hex}")
+    ranged.mapInPandas(_local_running(keys, value), schema).write.parquet(path)
+    numbered = spark.read.schema(schema).parquet(path)
     counts = numbered.groupBy("_pid", *keys).agg(F.max_by("_local", F.struct(*order)).alias("_cnt"))
     w = Window.partitionBy(*keys).orderBy("_pid") if keys else Window.orderBy("_pid")
     zero = F.lit(0.0) if value else F.lit(0)
@@ -95,18 +105,22 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n
 
 
 def bin_means(df: DataFrame, keys: Sequence[str], pos: str, value: str, bin_size: int) -> DataFrame:
-    """Mean per bin of ``bin_size`` positions; a short last bin is padded with its last value.
+    """Mean per bin of ``bin_size`` positions counted from the first position of the region (the keys).
 
-    (sum + pad * last) / bin_size where pad = bin_size - n_in_bin; ``last`` is the
-    value at the largest position (``max_by``), so no window is needed.
+    Only the last bin of a region can be short; it is padded with its last
+    value up to ``bin_size``.  Positions missing inside a region are left out of
+    their bin's mean.  ``bin`` is 0 at the region start, whose place comes from
+    a grouped minimum joined back, so no window spans a region.
     """
-    b = df.withColumn("bin", F.floor(F.col(pos) / bin_size).cast("long"))
+    keys = list(keys)
+    ends = df.groupBy(*keys).agg(F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
+    b = df.join(ends, keys).withColumn("bin", F.floor((F.col(pos) - F.col("_lo")) / bin_size).cast("long"))
     agg = b.groupBy(*keys, "bin").agg(
-        F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"), F.max_by(value, pos).alias("_last")
-    )
-    return agg.select(
-        *keys, "bin", ((F.col("_s") + (F.lit(bin_size) - F.col("_n")) * F.col("_last")) / bin_size).alias("bin_mean")
+        F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"), F.max_by(value, pos).alias("_last"),
+        F.max(F.col("_lo") + (F.col("bin") + 1) * bin_size - 1 - F.col("_hi")).alias("_over"),
     )
+    pad = F.greatest(F.col("_over"), F.lit(0))
+    return agg.select(*keys, "bin", ((F.col("_s") + pad * F.col("_last")) / (F.col("_n") + pad)).alias("bin_mean"))
 
 
 def running_best(df: DataFrame, group: list[str], order: str, metric: str) -> DataFrame:

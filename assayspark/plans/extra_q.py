@@ -16,6 +16,7 @@ from assayspark.operators import sampling as X
 from assayspark.operators import windows as W
 from assayspark.operators.ml import impute_median
 from assayspark.plans.registry import query, view
+from assayspark.plans.sequence_q import COUNTS_SQL, genome_counts
 from assayspark.session import scratch_path, table
 from assayspark.sources import files as R
 from assayspark.sources import motifs as M
@@ -29,17 +30,18 @@ def _fresh(spark, name: str) -> str:
 
 @query(
     "s09_motif_file_scan",
-    f"""SELECT 'MOTIF' || lpad(CAST(motif_id AS VARCHAR), 2, '0') AS name, CAST(max(threshold) AS FLOAT) AS threshold,
-               CAST(max(len) AS INTEGER) AS len, round(sum(log2(((cnt + 0.01) / (row_sum + 0.04)) / 0.25)), 6) AS lod_sum
-        FROM ({M.motif_cells_sql()}) m GROUP BY motif_id""",
+    f"""WITH {COUNTS_SQL}
+        SELECT 'MOTIF' || CAST(motif_id AS VARCHAR) AS name, CAST(motif_id * 0.25 AS FLOAT) AS threshold, CAST(count(DISTINCT j) AS INTEGER) AS len,
+               round(sum(log2(((cnt + 0.01) / (row_sum + 0.04)) / 0.25)), 6) AS lod_sum FROM pf GROUP BY motif_id""",
+    ("genome",),
 )
 def s09_motif_file_scan(spark, d):
-    """Four-column frequency file written from the built-in set, scanned back, log-odds recomputed.
-
-    The motif set is a fixed literal (the reference ships its own file); it is the only input here.
-    """
-    path = _fresh(spark, "motifs") + "/motifs.txt"
-    M.write_motif_file(M.builtin_motifs(), path)
+    """Motifs counted from the genome, written as a four-column frequency file, scanned back, log-odds made again."""
+    path = _fresh(spark, "motifs")
+    m = genome_counts(spark, d).select(
+        F.concat(F.lit("MOTIF"), F.col("motif_id").cast("string")).alias("name"), "motif_id", (F.col("motif_id") * 0.25).alias("threshold"), "counts"
+    )
+    M.write_motif_file(m, path)
     mf = M.scan_motif_file(spark, path)
     flat = F.flatten("log_odds")
     return mf.select("name", "threshold", "len", F.round(F.aggregate(flat, F.lit(0.0), lambda a, x: a + x), 6).alias("lod_sum"))
@@ -70,31 +72,26 @@ LABELS_SQL = "[" + ", ".join(f"'{x}'" for x in LABELS) + "]"
 
 @query(
     "s11_s12_j11_manifest_images",
-    f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_idx, label,
-               3 * (length('img_' || CAST(vec_id AS VARCHAR) || '_c0:' || {LABELS_SQL}[label + 1]) + 1) AS n_bytes
-        FROM embeddings""",
+    """SELECT row_number() OVER (ORDER BY id) - 1 AS row_idx, label, round(list_sum(channels[1]), 4) AS s0, round(list_sum(channels[2]), 4) AS s1,
+              round(list_sum(channels[3]), 4) AS s2, round(channels[1][1], 4) AS first0, round(channels[3][64], 4) AS last2
+       FROM image""",
+    ("image",),
 )
 def s11_s12_j11_manifest_images(spark, d):
-    """Manifest 'label f0 f1 f2' lines + one small binary file per channel, joined back per manifest row."""
+    """Manifest 'label f0 f1 f2' lines and one pixel record per channel file, joined back per manifest row."""
     base = _fresh(spark, "images")
-    e = table(spark, d, "embeddings").select("vec_id", "label")
+    im = view(spark, d, "image")
     names = F.array(*[F.lit(x) for x in LABELS])
-    lab = F.element_at(names, F.col("label") + 1)
-    files = [F.concat(F.lit("img_"), F.col("vec_id").cast("string"), F.lit(f"_c{c}")) for c in range(3)]
-    man = e.select("vec_id", F.concat_ws(" ", lab, *files).alias("value"))
-    man.repartitionByRange(2, "vec_id").sortWithinPartitions("vec_id").select("value").write.text(f"{base}/manifest")
-    ch = e.select("vec_id", lab.alias("lab"), F.explode(F.array(*[F.lit(c) for c in range(3)])).alias("c"))
-    payload = ch.select(
-        F.concat(F.lit("img_"), F.col("vec_id").cast("string"), F.lit("_c"), F.col("c").cast("string")).alias("file"),
-        F.concat(F.lit("img_"), F.col("vec_id").cast("string"), F.lit("_c0:"), F.col("lab")).alias("value"),
-    )
-    payload.write.partitionBy("file").text(f"{base}/content")
+    files = [F.concat(F.lit("img_"), F.col("id").cast("string"), F.lit(f"_c{c}")) for c in range(3)]
+    man = im.select("id", F.concat_ws(" ", F.element_at(names, F.col("label") + 1), *files).alias("value"))
+    man.repartitionByRange(2, "id").sortWithinPartitions("id").select("value").write.text(f"{base}/manifest")
+    ch = im.select("id", F.posexplode("channels").alias("c", "pixels"))
+    name = F.concat(F.lit("img_"), F.col("id").cast("string"), F.lit("_c"), F.col("c").cast("string"))
+    R.write_channels(ch.select(name.alias("name"), "pixels"), f"{base}/content")
     manifest = R.read_manifest(spark, f"{base}/manifest", {x: i for i, x in enumerate(LABELS)})
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{base}/content")
-    content = content.select(F.regexp_extract("path", "file=([^/]+)/", 1).alias("name"), "content")
-    m = manifest.select("row_idx", "label", F.posexplode("files").alias("pos", "name"))
-    j = m.join(content, "name")
-    return j.groupBy("row_idx", "label").agg(F.sum(F.length("content")).cast("long").alias("n_bytes"))
+    j = R.read_images(spark, manifest, f"{base}/content")
+    total = lambda c: F.round(F.aggregate(F.get("channels", c), F.lit(0.0), lambda a, v: a + v), 4).alias(f"s{c}")
+    return j.select("row_idx", "label", *[total(c) for c in range(3)], F.round(F.get(F.get("channels", 0), 0), 4).alias("first0"), F.round(F.get(F.get("channels", 2), 63), 4).alias("last2"))
 
 
 @query(
@@ -174,17 +171,24 @@ def j13_motif_sequence_pairs(spark, d):
 
 @query(
     "j14_stack_shared_genes",
-    f"""WITH a AS (SELECT * FROM matrix_sparse WHERE dataset = 'A' AND value IS NOT NULL),
-             b AS (SELECT * FROM matrix_sparse WHERE dataset = 'N' AND value IS NOT NULL),
-             s AS (SELECT feature FROM a INTERSECT SELECT feature FROM b)
-        SELECT split, count(*) AS n FROM (SELECT 'a' AS split, feature FROM a UNION ALL SELECT 'b', feature FROM b) t
-        WHERE feature IN (SELECT feature FROM s) GROUP BY split""",
+    """WITH t AS (SELECT * FROM matrix_sparse WHERE value IS NOT NULL),
+             p AS (SELECT x.dataset AS da, y.dataset AS db FROM (SELECT DISTINCT dataset FROM t) x JOIN (SELECT DISTINCT dataset FROM t) y ON x.dataset < y.dataset),
+             s AS (SELECT DISTINCT da, db, a.feature FROM p JOIN t a ON a.dataset = da JOIN t b ON b.dataset = db AND a.feature = b.feature)
+        SELECT da || '+' || db AS stack, CASE WHEN t.dataset = da THEN 'a' ELSE 'b' END AS split, count(*) AS n
+        FROM s JOIN t ON t.feature = s.feature AND t.dataset IN (da, db) GROUP BY 1, 2""",
     ("matrix_sparse",),
 )
 def j14_stack_shared_genes(spark, d):
+    """Every pair of data sets stacked on its shared genes."""
     m = view(spark, d, "matrix_sparse").where(F.col("value").isNotNull())
-    st = C.stack_shared(m.where("dataset = 'A'"), m.where("dataset = 'N'"))
-    return st.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    names = sorted(r["dataset"] for r in m.select("dataset").distinct().collect())  # one per cohort
+    out = None
+    for i, x in enumerate(names):
+        for y in names[i + 1 :]:
+            st = C.stack_shared(m.where(F.col("dataset") == x), m.where(F.col("dataset") == y))
+            st = st.groupBy("split").agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"{x}+{y}").alias("stack"), "split", "n")
+            out = st if out is None else out.unionByName(st)
+    return out
 
 
 @query(
@@ -266,7 +270,7 @@ def j17_band_join(spark, d):
     total = e.agg(F.sum("w")).first()[0]
     n = e.count()
     draws = spark.range(n).select(F.col("id").alias("draw"), ((F.col("id") * 7919) % F.lit(int(total)) + 0.5).alias("u"))
-    return J.band_join(draws, bands, "u", "lo", "hi", total / n).select("draw", "vec_id")
+    return J.band_join(draws, bands, "u", "lo", "hi").select("draw", "vec_id")
 
 
 @query(

@@ -171,13 +171,24 @@ def a10_sd_samples(spark, d):
 
 @query(
     "a11_feature_corr",
-    """SELECT a.feature AS feature_i, b.feature AS feature_j, round(corr(a.value, b.value), 6) AS r
+    """SELECT a.feature AS feature_i, b.feature AS feature_j, round(corr(a.value, b.value), 6) + 0 AS r
        FROM matrix a JOIN matrix b ON a.sample = b.sample GROUP BY 1, 2""",
     ("matrix",),
 )
 def a11_feature_corr(spark, d):
     c = P.pairwise_corr(view(spark, d, "matrix"))
-    return c.select("feature_i", "feature_j", r6(F.col("r")).alias("r"))
+    return c.select("feature_i", "feature_j", (r6(F.col("r")) + 0.0).alias("r"))
+
+
+@query(
+    "a11_sample_corr",
+    """SELECT a.sample AS sample_i, b.sample AS sample_j, round(corr(a.value, b.value), 6) + 0 AS r
+       FROM matrix a JOIN matrix b ON a.feature = b.feature GROUP BY 1, 2""",
+    ("matrix",),
+)
+def a11_sample_corr(spark, d):
+    c = P.pairwise_corr(view(spark, d, "matrix"), var="sample", obs="feature")
+    return c.select("sample_i", "sample_j", (r6(F.col("r")) + 0.0).alias("r"))
 
 
 @query(
@@ -208,17 +219,32 @@ def a12_mean_corr_samples(spark, d):
 
 @query(
     "a13_top_var_corr",
-    """WITH top AS (SELECT feature FROM matrix GROUP BY feature ORDER BY var_samp(value) DESC, feature LIMIT 10),
+    """WITH top AS (SELECT feature FROM matrix GROUP BY feature ORDER BY var_samp(value) DESC, feature LIMIT 100),
          m AS (SELECT * FROM matrix WHERE feature IN (SELECT feature FROM top))
-       SELECT a.feature AS feature_i, b.feature AS feature_j, round(corr(a.value, b.value), 6) AS r
+       SELECT a.feature AS feature_i, b.feature AS feature_j, round(corr(a.value, b.value), 6) + 0 AS r
        FROM m a JOIN m b ON a.sample = b.sample GROUP BY 1, 2""",
     ("matrix",),
 )
 def a13_top_var_corr(spark, d):
     m = view(spark, d, "matrix")
-    top = S.top_n_by(S.feature_stats(m), "var_samp", 10).select("feature")
-    c = P.pairwise_corr(m.join(F.broadcast(top), "feature", "left_semi"))
-    return c.select("feature_i", "feature_j", r6(F.col("r")).alias("r"))
+    top = S.top_n_by(S.feature_stats(m, "feature"), "var_samp", 100, "feature").select("feature")
+    c = P.pairwise_corr(m.join(top, "feature", "left_semi"), var="feature", obs="sample")
+    return c.select("feature_i", "feature_j", (r6(F.col("r")) + 0.0).alias("r"))
+
+
+@query(
+    "a13_top_var_corr_samples",
+    """WITH top AS (SELECT sample FROM matrix GROUP BY sample ORDER BY var_samp(value) DESC, sample LIMIT 100),
+         m AS (SELECT * FROM matrix WHERE sample IN (SELECT sample FROM top))
+       SELECT a.sample AS sample_i, b.sample AS sample_j, round(corr(a.value, b.value), 6) + 0 AS r
+       FROM m a JOIN m b ON a.feature = b.feature GROUP BY 1, 2""",
+    ("matrix",),
+)
+def a13_top_var_corr_samples(spark, d):
+    m = view(spark, d, "matrix")
+    top = S.top_n_by(S.feature_stats(m, "sample"), "var_samp", 100, "sample").select("sample")
+    c = P.pairwise_corr(m.join(top, "sample", "left_semi"), var="sample", obs="feature")
+    return c.select("sample_i", "sample_j", (r6(F.col("r")) + 0.0).alias("r"))
 
 
 @query(

@@ -87,13 +87,13 @@ def a25_x06_class_counts_weights(spark, d):
              b AS (SELECT vec_id, label, sum(wt) OVER (ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - wt AS lo,
                           sum(wt) OVER (ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi FROM w),
              t AS (SELECT sum(wt) AS total FROM w),
-             dr AS (SELECT i AS draw, ({arith_hash_sql('i', '42')}) / {float(HASH_MOD)} * total AS u FROM range(2000) r(i), t)
+             dr AS (SELECT i AS draw, ({arith_hash_sql('i', '42')}) / {float(HASH_MOD)} * total AS u FROM range((SELECT count(*) FROM embeddings)) r(i), t)
         SELECT label, count(*) AS n_draws FROM dr JOIN b ON dr.u >= b.lo AND dr.u < b.hi GROUP BY label""",
 )
 def x07_weighted_sample(spark, d):
     e = labelled(spark, d)
     w = X.inverse_count_weights(e, "label", label_domain(spark))
-    s = X.weighted_sample(w, "id", "weight", 2000, seed=42)
+    s = X.weighted_sample(w, "id", "weight", w.count(), seed=42)
     return s.groupBy("label").agg(F.count(F.lit(1)).alias("n_draws"))
 
 

@@ -16,6 +16,7 @@ from assayspark.sources import files as R
 from assayspark.sources import sinks as K
 from assayspark.plans.registry import query, view
 from assayspark.session import scratch_path, table
+from assayspark.views import CHUNK_BP
 
 
 def _fresh(spark, name: str) -> str:
@@ -24,16 +25,22 @@ def _fresh(spark, name: str) -> str:
 
 @query(
     "s01_s04_tsv_expression",
-    """SELECT sample, count(*) AS n, round(sum(value), 6) AS total FROM
-       (UNPIVOT (SELECT p_partkey, p_name, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part)
-        ON p_size, p_retailprice INTO NAME sample VALUE value) t GROUP BY sample""",
+    """WITH t AS (SELECT CAST(s AS VARCHAR) AS sample, p_partkey, v FROM
+         (UNPIVOT (SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part) ON p_size, p_retailprice INTO NAME s VALUE v) x
+       UNION ALL SELECT CAST(s AS VARCHAR), p_partkey, v FROM
+         (UNPIVOT (SELECT p_partkey, p_retailprice AS total, CAST(p_size AS DOUBLE) * 2 AS p_size, CAST(p_partkey AS DOUBLE) AS price FROM part)
+          ON total, p_size, price INTO NAME s VALUE v) y)
+       SELECT sample, count(*) AS n, round(sum(v), 4) AS total FROM t GROUP BY sample""",
 )
 def s01_s04_tsv_expression(spark, d):
-    path = _fresh(spark, "expr-tsv")
-    p = table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    p.repartition(3).write.csv(path, sep="\t", header=True)
-    long = R.read_expression(spark, path, n_meta=2)
-    return long.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+    """Two cohorts whose files have other samples in another order, read in one scan."""
+    one, two = _fresh(spark, "expr-a"), _fresh(spark, "expr-b")
+    p = table(spark, d, "part")
+    p.select("p_partkey", "p_type", "p_size", "p_retailprice").repartition(3).write.csv(one, sep="\t", header=True)
+    p.select("p_partkey", "p_type", F.col("p_retailprice").alias("total"), (F.col("p_size") * 2).alias("p_size"), F.col("p_partkey").alias("price")).repartition(2).write.csv(
+        two, sep="\t", header=True)
+    long = R.read_expression(spark, [one, two], n_meta=2)
+    return long.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query(
@@ -42,15 +49,21 @@ def s01_s04_tsv_expression(spark, d):
     ("mutations",),
 )
 def s02_s03_comment_first_line(spark, d):
-    """Leading '#' line skipped, header on the next line; empty cells read back as NULL (as a TSV reader does)."""
+    """A leading '#' line is skipped in the files that have one; the header is the next line; empty cells are NULL.
+
+    The mutations are written as many files: those of odd part numbers begin with a comment line, the others do not.
+    """
     path = _fresh(spark, "mut-tsv")
-    m = view(spark, d, "mutations").select(
-        F.coalesce("gene", F.lit("")).alias("Hugo_Symbol"), F.col("sample").cast("string").alias("Tumor_Sample_Barcode"),
-        F.coalesce("consequence", F.lit("")).alias("Consequence"), "row_idx",
+    m = view(spark, d, "mutations")
+    body = m.select(
+        F.concat_ws("\t", F.coalesce("gene", F.lit("")), F.col("sample").cast("string"), F.coalesce("consequence", F.lit(""))).alias("value"),
+        F.pmod(F.xxhash64("row_idx"), F.lit(8)).cast("int").alias("part"), F.lit(2).alias("line"),
     )
-    header = spark.createDataFrame([("#version 2.4", -2), ("Hugo_Symbol\tTumor_Sample_Barcode\tConsequence", -1)], "value string, row_idx long")
-    body = m.select(F.concat_ws("\t", "Hugo_Symbol", "Tumor_Sample_Barcode", "Consequence").alias("value"), "row_idx")
-    header.unionByName(body).coalesce(1).sortWithinPartitions("row_idx").select("value").write.text(path)
+    parts = spark.range(8).select(F.col("id").cast("int").alias("part"))
+    head = parts.select(F.lit("Hugo_Symbol\tTumor_Sample_Barcode\tConsequence").alias("value"), "part", F.lit(1).alias("line"))
+    note = parts.where("part % 2 = 1").select(F.lit("#version 2.4").alias("value"), "part", F.lit(0).alias("line"))
+    files = body.unionByName(head).unionByName(note).repartition("part").sortWithinPartitions("part", "line")
+    files.select("value", "part").write.partitionBy("part").text(path)
     mut = R.read_mutations(spark, path)
     return mut.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sample").alias("n_samples"))
 
@@ -69,7 +82,9 @@ def s05_gzip_lines(spark, d):
 
 @query(
     "s07_fasta_roundtrip",
-    """SELECT chrom, length(seq) AS len, md5(seq) AS seq_md5 FROM genome""",
+    f"""SELECT chrom, CAST(c AS INTEGER) AS chunk_id, length(substring(seq, CAST(c * {CHUNK_BP} + 1 AS BIGINT), {CHUNK_BP})) AS len,
+               md5(substring(seq, CAST(c * {CHUNK_BP} + 1 AS BIGINT), {CHUNK_BP})) AS seq_md5
+        FROM (SELECT chrom, seq, unnest(range(greatest(1, (length(seq) + {CHUNK_BP} - 1) // {CHUNK_BP}))) AS c FROM genome) t""",
     ("genome",),
 )
 def s07_fasta_roundtrip(spark, d):
@@ -77,8 +92,8 @@ def s07_fasta_roundtrip(spark, d):
     g = view(spark, d, "genome")
     wrapped = F.regexp_replace(F.col("seq"), "(.{60})", "$1\n")
     g.select(F.concat(F.lit(">"), F.col("chrom"), F.lit(" stand-in\n"), wrapped).alias("value")).write.text(path)
-    fa = R.read_fasta(spark, path)
-    return fa.select("chrom", F.length("seq").cast("long").alias("len"), F.md5("seq").alias("seq_md5"))
+    fa = R.read_fasta(spark, path, CHUNK_BP)
+    return fa.select("chrom", "chunk_id", F.length("seq").cast("long").alias("len"), F.md5("seq").alias("seq_md5"))
 
 
 @query(

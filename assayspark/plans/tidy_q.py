@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from assayspark.operators import joins as J
@@ -29,18 +31,20 @@ def p01_p02_melt(spark, d):
     return T.melt(wide, ["l_orderkey", "l_linenumber"])
 
 
+WIDE = range(64)
+
+
 @query(
     "p03_pivot_small",
-    """SELECT dataset, sum(CASE WHEN feature = 0 THEN value END) AS f0, sum(CASE WHEN feature = 1 THEN value END) AS f1,
-              sum(CASE WHEN feature = 2 THEN value END) AS f2 FROM
-       (SELECT dataset, feature, round(avg(value), 6) AS value FROM matrix WHERE feature < 3 GROUP BY 1, 2) t GROUP BY dataset""",
+    "SELECT dataset, " + ", ".join(f"max(CASE WHEN feature = {i} THEN value END) AS f{i}" for i in WIDE)
+    + " FROM (SELECT dataset, feature, round(avg(value), 6) AS value FROM matrix GROUP BY 1, 2) t GROUP BY dataset",
     ("matrix",),
 )
 def p03_pivot_small(spark, d):
-    m = view(spark, d, "matrix").where(F.col("feature") < 3)
-    per = m.groupBy("dataset", "feature").agg(r6(F.avg("value")).alias("value"))
-    w = T.to_wide(per, "dataset", "feature", "value", [0, 1, 2])
-    return w.select("dataset", F.col("0").alias("f0"), F.col("1").alias("f1"), F.col("2").alias("f2"))
+    """All features of the stand-in as columns, one row per data set."""
+    per = view(spark, d, "matrix").groupBy("dataset", "feature").agg(r6(F.avg("value")).alias("value"))
+    w = T.to_wide(per, "dataset", "feature", "value", list(WIDE))
+    return w.select("dataset", *[F.col(f"`{i}`").alias(f"f{i}") for i in WIDE])
 
 
 @query(
@@ -172,36 +176,48 @@ def u01_common_features(spark, d):
 
 @query(
     "u02_shared_samples",
-    """SELECT sample FROM matrix_sparse WHERE dataset = 'A' INTERSECT SELECT sample FROM matrix_sparse WHERE dataset = 'N' AND feature % 2 = 0""",
+    """WITH s AS (SELECT DISTINCT dataset, sample FROM matrix_sparse)
+       SELECT a.dataset || '+' || b.dataset AS pair, a.sample FROM s a JOIN s b ON a.dataset < b.dataset AND a.sample = b.sample""",
     ("matrix_sparse",),
 )
 def u02_shared_samples(spark, d):
+    """The samples that each two data sets share."""
     m = view(spark, d, "matrix_sparse")
-    return U.intersect2(m.where(F.col("dataset") == "A"), m.where((F.col("dataset") == "N") & (F.col("feature") % 2 == 0)), "sample")
+    names = sorted(r["dataset"] for r in m.select("dataset").distinct().collect())  # one per cohort
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i + 1 :]]
+    out = [U.intersect2(m.where(F.col("dataset") == x), m.where(F.col("dataset") == y), "sample").select(F.lit(f"{x}+{y}").alias("pair"), "sample") for x, y in pairs]
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+def _brands(spark, d):
+    m = view(spark, d, "mutations").where(F.col("gene").isNotNull())
+    return m, sorted(r["gene"] for r in m.select("gene").distinct().collect())  # one frame per file: a brand
 
 
 @query(
     "u03_union_samples",
-    """SELECT DISTINCT sample FROM mutations WHERE gene = 'Brand#1' UNION SELECT DISTINCT sample FROM mutations WHERE gene = 'Brand#2'""",
+    """SELECT DISTINCT sample FROM mutations WHERE gene IS NOT NULL""",
     ("mutations",),
 )
 def u03_union_samples(spark, d):
-    m = view(spark, d, "mutations")
-    return U.union_distinct(m.where(F.col("gene") == "Brand#1").select("sample"), m.where(F.col("gene") == "Brand#2").select("sample"))
+    """The samples of all brands, each brand a frame of its own."""
+    m, names = _brands(spark, d)
+    return U.union_distinct(*[m.where(F.col("gene") == g).select("sample") for g in names])
 
 
 @query(
     "u04_union_fill",
-    """WITH a AS (SELECT DISTINCT sample FROM mutations WHERE gene = 'Brand#1'),
-            b AS (SELECT DISTINCT sample FROM mutations WHERE gene = 'Brand#2')
-       SELECT sample, true AS brand1, false AS brand2 FROM a UNION ALL SELECT sample, false, true FROM b""",
+    """WITH g AS (SELECT DISTINCT gene, sample FROM mutations WHERE gene IS NOT NULL), n AS (SELECT DISTINCT gene FROM g)
+       SELECT g.sample, n.gene, g.gene = n.gene AS flag FROM g CROSS JOIN n""",
     ("mutations",),
 )
 def u04_union_fill(spark, d):
-    m = view(spark, d, "mutations")
-    a = m.where(F.col("gene") == "Brand#1").select("sample").distinct().withColumn("brand1", F.lit(True))
-    b = m.where(F.col("gene") == "Brand#2").select("sample").distinct().withColumn("brand2", F.lit(True))
-    return U.union_fill(a, b, False)
+    """Label frames of all brands stacked; a brand's column is False in the frames that lack it."""
+    m, names = _brands(spark, d)
+    frames = [m.where(F.col("gene") == g).select("sample").distinct().withColumn(g, F.lit(True)) for g in names]
+    u = reduce(lambda a, b: U.union_fill(a, b, False), frames)
+    cells = F.explode(F.array(*[F.struct(F.lit(g).alias("gene"), F.col(f"`{g}`").alias("flag")) for g in names])).alias("c")
+    return u.select("sample", cells).select("sample", "c.gene", "c.flag")
 
 
 @query(

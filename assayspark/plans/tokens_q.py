@@ -137,17 +137,16 @@ def generated_and_training(spark, d):
     ("strings",),
 )
 def a32_generation_stats(spark, d):
-    """One plan: well-formed generated strings grouped by string (copies counted), flagged against the
-    training set by a left join, then a single aggregate for valid / unique / novel / mean rings."""
-    gen, train = generated_and_training(spark, d)
-    per = gen.where(K.well_formed(F.col("s"))).groupBy("s").agg(
-        F.count(F.lit(1)).alias("copies"), F.first(K.ring_count(F.col("s"))).alias("rings")
+    """One pass over the strings: grouped by string with its generated copies and whether it is a training string;
+    validity and rings are then made once per distinct string."""
+    per = valid_strings(spark, d).groupBy("s").agg(
+        F.count_if(F.col("row_idx") % 2 == 1).alias("copies"), F.max(F.col("row_idx") % 2 == 0).alias("in_train")
     )
-    flagged = per.join(train.withColumn("in_train", F.lit(True)), "s", "left")
-    return flagged.agg(
+    ok = per.where(F.col("copies") > 0).where(K.well_formed(F.col("s"))).select("copies", "in_train", K.ring_count(F.col("s")).alias("rings"))
+    return ok.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("n_valid"),
         F.count(F.lit(1)).alias("n_unique"),
-        F.count_if(F.col("in_train").isNull()).alias("n_novel"),
+        F.count_if(~F.col("in_train")).alias("n_novel"),
         F.round(F.coalesce(F.avg("rings"), F.lit(0.0)), 6).alias("mean_rings"),
     )
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from assayspark.operators.tidy import coerce_numeric, melt
+from assayspark.operators.tidy import coerce_numeric
+from assayspark.operators.windows import running_sum_within
 
 BED_SCHEMA = T.StructType(
     [
@@ -67,55 +68,59 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], min_partitions:
     return df.repartition(min_partitions) if min_partitions else df
 
 
-def first_line_is_comment(spark: SparkSession, path: str, mark: str = "#") -> bool:
-    """S02 detector: 1 when the first line of the file starts with ``mark`` (reads one line)."""
-    first = spark.read.text(path).head(1)
-    return bool(first) and first[0]["value"].startswith(mark)
+def headed_lines(spark: SparkSession, paths: str | Sequence[str], mark: str = "#") -> DataFrame:
+    """Data lines of tab-separated files as (dataset, header ARRAY, cells ARRAY), each file with its own header.
 
-
-def read_tsv_table(spark: SparkSession, paths: str | Sequence[str], skip_first_comment: bool | None = None) -> DataFrame:
-    """Header TSV, every column as STRING, plus ``dataset`` = source file path.
-
-    With a leading comment line (detected per call unless given), only that
-    first line is dropped - other '#' lines stay data, unlike the CSV reader's
-    ``comment`` option - and the next line is the header.
+    A file's first line is dropped if it starts with ``mark`` (other such lines
+    stay data) and the next line is its header.  The headers are one row per
+    file, joined back by path.
     """
     plist = [paths] if isinstance(paths, str) else list(paths)
-    if skip_first_comment is None:
-        skip_first_comment = any(first_line_is_comment(spark, p) for p in plist)
-    if not skip_first_comment:
-        df = spark.read.csv(plist, sep="\t", header=True, inferSchema=False)
-        return df.withColumn("dataset", F.col("_metadata.file_path"))
     lines = with_row_index(spark.read.text(plist).select("value", F.col("_metadata.file_path").alias("dataset"), "_metadata"))
-    per_file = lines.groupBy("dataset").agg(F.min("row_idx").alias("_first"))
-    lines = lines.join(per_file, "dataset").withColumn("_pos", F.col("row_idx") - F.col("_first"))
-    lines = lines.where(~((F.col("_pos") == 0) & F.col("value").startswith("#")))
-    header_row = lines.where(F.col("_pos") == 1).select("value").head()
-    names = header_row["value"].split("\t")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    data = lines.where(F.col("_pos") > 1)
-    parsed = data.select(F.from_csv("value", schema.simpleString(), {"sep": "\t"}).alias("r"), "dataset")
-    return parsed.select("r.*", "dataset")
+    first = lines.groupBy("dataset").agg(F.min(F.struct("row_idx", "value")).alias("_f"))
+    at = F.col("_f.row_idx") + F.col("_f.value").startswith(mark).cast("long")
+    first = first.select("dataset", at.alias("_at"))
+    placed = lines.join(first, "dataset")
+    heads = placed.where(F.col("row_idx") == F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("header"))
+    data = placed.where(F.col("row_idx") > F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("cells"))
+    return data.join(heads, "dataset")
+
+
+def read_tsv_table(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Header TSV files, every column as STRING, plus ``dataset`` = source file path.
+
+    Files may differ in columns, column order and a leading comment line: a cell
+    is found by its name in its own file's header, and a column that a file
+    lacks is NULL.  ``columns`` names the wanted columns; by default all names of
+    all headers (one small row per file), in order of first appearance.
+    """
+    rows = headed_lines(spark, paths)
+    if columns is None:
+        columns = []
+        for r in rows.select("dataset", "header").distinct().orderBy("dataset").toLocalIterator():
+            columns += [c for c in r["header"] if c not in columns]
+    cell = lambda c: F.get("cells", F.array_position("header", F.lit(c)).cast("int") - 1)
+    return rows.select(*[F.nullif(F.when(F.array_contains("header", F.lit(c)), cell(c)), F.lit("")).alias(c) for c in columns], "dataset")
 
 
 def read_expression(spark: SparkSession, paths: str | Sequence[str], n_meta: int = 2, feature_col: str | None = None) -> DataFrame:
     """S01 + P01 + P02 + P04: wide expression TSV(s) -> long (dataset, feature, sample, value DOUBLE).
 
-    The wide frame is unpivoted straight after the scan; values that do not
-    parse become NULL.
+    Each file is unpivoted under its own header, so cohorts with different
+    samples, or the same ones in another order, can be read together.  Values
+    that do not parse become NULL.
     """
-    wide = read_tsv_table(spark, paths, skip_first_comment=False)
-    meta = wide.columns[:n_meta]
-    feature_col = feature_col or meta[0]
-    sample_cols = [c for c in wide.columns[n_meta:] if c != "dataset"]
-    long = melt(wide.select(F.col(feature_col).alias("feature"), "dataset", *sample_cols), ["feature", "dataset"])
-    return long.select("dataset", "feature", "sample", coerce_numeric(F.col("value")).alias("value"))
+    rows = headed_lines(spark, paths)
+    at = F.array_position("header", F.lit(feature_col)).cast("int") - 1 if feature_col else F.lit(0)
+    cell = F.explode(F.arrays_zip(F.slice("header", n_meta + 1, F.size("header")).alias("sample"), F.slice("cells", n_meta + 1, F.size("header")).alias("value")))
+    long = rows.select("dataset", F.get("cells", at).alias("feature"), cell.alias("c"))
+    return long.select("dataset", "feature", F.col("c.sample").alias("sample"), coerce_numeric(F.col("c.value")).alias("value"))
 
 
-def read_mutations(spark: SparkSession, path: str, sample_col: str = "Tumor_Sample_Barcode", type_col: str = "Consequence",
+def read_mutations(spark: SparkSession, path: str | Sequence[str], sample_col: str = "Tumor_Sample_Barcode", type_col: str = "Consequence",
                    gene_col: str = "Hugo_Symbol") -> DataFrame:
     """Column-pruned mutation scan (gene, sample, consequence) as strings."""
-    t = read_tsv_table(spark, path)
+    t = read_tsv_table(spark, path, [gene_col, sample_col, type_col])
     return t.select(F.col(gene_col).alias("gene"), F.col(sample_col).alias("sample"), F.col(type_col).alias("consequence"))
 
 
@@ -126,25 +131,47 @@ def read_bed(spark: SparkSession, path: str, with_label: bool = True) -> DataFra
     return with_row_index(df.select("*", "_metadata"))
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """FASTA -> (chrom, seq); record separator '>', name = first word of the header line."""
-    recs = spark.read.option("lineSep", ">").text(path).where(F.length(F.trim("value")) > 0)
-    lines = F.split(F.col("value"), "\n")
-    name = F.element_at(F.split(F.element_at(lines, 1), "\\s+"), 1)
-    seq = F.array_join(F.slice(lines, 2, 1 << 30), "")
-    return recs.select(name.alias("chrom"), F.regexp_replace(seq, "\\s", "").alias("seq"))
-
+def read_fasta(spark: SparkSession, path: str, chunk: int) -> DataFrame:
+    """FASTA files -> chunks (chrom, chunk_id, chunk_start, seq) of ``chunk`` bases.
 
-def chunk_genome(genome: DataFrame, chunk: int, halo: int = 0) -> DataFrame:
-    """Fixed-size chunks (chrom, chunk_id, chunk_start, seq) so no later row holds a whole chromosome;
-    each chunk also carries the next ``halo`` bases (see :func:`assayspark.operators.joins.extract_sequences`)."""
+    Files are read line by line.  A header line ('>name ...', first word = name)
+    holds for the lines after it, and a line's place in its sequence is the sum
+    of the lengths before it; both are running values over the file order, as
+    two-level prefix sums, so a chromosome spreads over many tasks.  A line is
+    then cut at the chunk borders and the pieces of a chunk put together.
+    Headers without a base give one empty chunk.
+    """
+    lines = with_row_index(spark.read.text(path).select("value", "_metadata"))
+    text = F.regexp_replace("value", "\\s", "")
+    head = F.col("value").startswith(">")
+    rows = lines.select(
+        "row_idx", F.when(head, F.element_at(F.split(F.substring("value", 2, 1 << 20), "\\s+"), 1)).alias("name"),
+        F.when(head, F.lit("")).otherwise(text).alias("seq"), head.cast("long").alias("is_head"),
+    ).withColumn("len", F.length("seq").cast("long"))
+    rows = running_sum_within(rows, [], ["row_idx"], "is_head", "record")
+    rows = running_sum_within(rows, [], ["row_idx"], "len", "upto")
+    heads = rows.where("is_head = 1").select("record", F.col("name").alias("chrom"), F.col("upto").alias("base"))
+    placed = rows.where("is_head = 0 and len > 0").select("record", "seq", "len", "upto").join(heads, "record")
+    placed = placed.select("chrom", "seq", "len", (F.col("upto") - F.col("len") - F.col("base")).cast("long").alias("start"))
+    first, last = F.floor(F.col("start") / chunk), F.floor((F.col("start") + F.col("len") - 1) / chunk)
+    cut = placed.select("chrom", "seq", "start", F.explode(F.sequence(first, last)).alias("chunk_id"))
+    at = F.greatest(F.col("chunk_id") * chunk - F.col("start"), F.lit(0))
+    end = F.least((F.col("chunk_id") + 1) * chunk - F.col("start"), F.length("seq"))
+    cut = cut.select("chrom", "chunk_id", (F.col("start") + at).alias("pos"), F.substring("seq", (at + 1).cast("int"), (end - at).cast("int")).alias("piece"))
+    got = cut.groupBy("chrom", "chunk_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "").alias("seq"))
+    empty = heads.select("chrom").join(got.select("chrom").distinct(), "chrom", "left_anti").select("chrom", F.lit(0).cast("long").alias("chunk_id"), F.lit("").alias("seq"))
+    return got.unionByName(empty).select("chrom", F.col("chunk_id").cast("int").alias("chunk_id"), (F.col("chunk_id") * chunk).alias("chunk_start"), "seq")
+
+
+def chunk_genome(genome: DataFrame, chunk: int) -> DataFrame:
+    """Fixed-size chunks (chrom, chunk_id, chunk_start, seq) so no later row holds a whole chromosome."""
     n = F.length("seq")
     # Empty sequences explode to nothing (no filter, which would be inlined and recompute ``seq``).
     ids = F.when(n > 0, F.sequence(F.lit(0), ((n - 1) / F.lit(chunk)).cast("int"))).otherwise(F.array().cast("array<int>"))
     x = genome.select("chrom", "seq", F.explode(ids).alias("chunk_id"))
     return x.select(
         "chrom", "chunk_id", (F.col("chunk_id").cast("long") * chunk).alias("chunk_start"),
-        F.substring(F.col("seq"), F.col("chunk_id") * chunk + 1, F.lit(chunk + halo)).alias("seq"),
+        F.substring(F.col("seq"), F.col("chunk_id") * chunk + 1, F.lit(chunk)).alias("seq"),
     )
 
 
@@ -181,15 +208,17 @@ def read_manifest(spark: SparkSession, path: str, labels: dict[str, int]) -> Dat
     return lines.select("row_idx", map_labels(F.element_at(parts, 1), labels).alias("label"), F.slice(parts, 2, 3).alias("files"))
 
 
+def write_channels(channels: DataFrame, path: str) -> None:
+    """Channel images (name, pixels) as many records per file, so a folder does not hold one file per channel."""
+    channels.select("name", F.transform("pixels", lambda x: x.cast("double")).alias("pixels")).write.parquet(path)
+
+
 def read_images(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
-    """S12 + J11: join each manifest row's three files to their binary content, kept in file order."""
-    content = spark.read.format("binaryFile").load(root).select(F.col("path"), F.col("content"))
-    base = content.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    """S12 + J11: join each manifest row's three channel names to their pixels: (row_idx, label, channels) in manifest order."""
+    content = spark.read.parquet(root).select("name", "pixels")
     m = manifest.select("row_idx", "label", F.posexplode("files").alias("pos", "name"))
-    j = m.join(base, "name")
-    return j.groupBy("row_idx", "label").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda s: s["content"]).alias("contents")
-    )
+    got = m.join(content, "name").groupBy("row_idx", "label").agg(F.array_sort(F.collect_list(F.struct("pos", "pixels"))).alias("c"))
+    return got.select("row_idx", "label", F.transform("c", lambda s: s["pixels"]).alias("channels"))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 
 def write_predictions(pred: DataFrame, path: str, gene: str = "gene", name: str = "sample", prob: str = "prob") -> None:
-    """One text output per gene with lines 'name %.5f', sorted by name (binary collation).
+    """Text output per gene with lines 'name %.5f', sorted by name (binary collation).
 
-    ``repartition(gene)`` puts each gene in one task, and ``partitionBy`` makes
-    one directory per gene (instead of a file-name prefix).
+    Rows are range-partitioned on (gene, name), so a gene with most of the rows
+    spans many tasks and its files follow one another in name order;
+    ``partitionBy`` makes one directory per gene.
     """
+    n = int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lines = pred.select(gene, name, F.format_string("%s %.5f", F.col(name).cast("string"), F.col(prob)).alias("value"))
     (
-        lines.repartition(gene)
+        lines.repartitionByRange(n, gene, name)
         .sortWithinPartitions(gene, name)
         .select(gene, "value")
         .write.mode("overwrite")
@@ -34,8 +36,13 @@ def constant_fallback(samples: DataFrame, genes: list[str], value: float = 0.0,
 
 
 def write_arrays(df: DataFrame, path: str, order: str = "row_idx") -> None:
-    """Dense arrays (factor rows, predictions, tokens) as Parquet keyed by their row index."""
-    df.write.mode("overwrite").parquet(path)
+    """Dense arrays (factor rows, predictions, tokens) as Parquet files in ascending ``order``.
+
+    Range-partitioned and sorted, so part files hold consecutive rows and their
+    row-group statistics prune a slice of the array.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
 
 
 def write_distinct(df: DataFrame, col: str, path: str) -> None:

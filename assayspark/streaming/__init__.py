@@ -5,7 +5,8 @@ a gzip corpus line by line, filtering and encoding it.  ``corpus_stream``
 runs that same step over files that keep arriving in a folder: the text
 source picks up new files, each micro-batch is filtered (P13) and encoded
 (F09) with the same column functions as the batch path, and ``foreachBatch``
-appends it to Parquet (K03).  With ``availableNow`` it processes what is
+writes it to the Parquet partition of its batch id (K03), which a retried batch
+overwrites.  With ``availableNow`` it processes what is
 there and stops, which is how the tests drive it.
 """
 
@@ -37,7 +38,7 @@ def corpus_stream(
     enc = encoded_corpus(lines, max_len)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = enc.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -18,7 +18,6 @@ from assayspark.session import table
 # Geometry of the sequence stand-in.
 WINDOW_BP = 500          # BED window width and step (windows tile each sequence)
 CHUNK_BP = 4096          # genome chunk size for the chunked layout
-HALO_BP = 1024           # bases of the next chunk carried by each chunk row
 UNKNOWN_CHROM_EVERY = 25  # one window on an unknown chromosome per this many docs
 
 
@@ -145,12 +144,11 @@ def genome(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def genome_chunks(spark: SparkSession, d: str, chunk: int = CHUNK_BP, halo: int = HALO_BP) -> DataFrame:
-    """Chunked genome layout (chrom, chunk_id, chunk_start, seq): no row holds a whole chromosome;
-    each row has ``chunk`` bases plus the next ``halo`` bases."""
+def genome_chunks(spark: SparkSession, d: str, chunk: int = CHUNK_BP) -> DataFrame:
+    """Chunked genome layout (chrom, chunk_id, chunk_start, seq): no row holds a whole chromosome;"""
     from assayspark.sources.files import chunk_genome
 
-    return chunk_genome(genome(spark, d), chunk, halo)
+    return chunk_genome(genome(spark, d), chunk)
 
 
 def bed(spark: SparkSession, d: str, width: int = WINDOW_BP) -> DataFrame:

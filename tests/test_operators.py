@@ -16,7 +16,7 @@ from assayspark.operators import sampling as X
 from assayspark.operators import select as S
 from assayspark.operators import windows as W
 from assayspark.operators.scoring import adjusted_mutual_info, roc_auc
-from assayspark.operators.tv import tv_prox, tv_prox_binned, tv_prox_reference
+from assayspark.operators.tv import tv_prox
 
 
 # --- tv_6: fused lasso ------------------------------------------------------
@@ -28,6 +28,15 @@ def test_tv_prox_fixture():
     assert np.allclose(tv_prox(y, 100.0), [3.0] * 6)
 
 
+def tv_prox_reference(y: np.ndarray, lam: float, iters: int) -> np.ndarray:
+    """Slow check: projected gradient on the dual (|z_i| <= lam), x = y - D^T z."""
+    z = np.zeros(y.size - 1)
+    d_t = lambda z: np.concatenate([[-z[0]], z[:-1] - z[1:], [z[-1]]])
+    for _ in range(iters):
+        z = np.clip(z + 0.25 * np.diff(y - d_t(z)), -lam, lam)
+    return y - d_t(z)
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.floats(-10, 10), min_size=2, max_size=30), st.floats(0.01, 5))
 def test_tv_prox_matches_dual_solver(ys, lam):
@@ -35,10 +44,14 @@ def test_tv_prox_matches_dual_solver(ys, lam):
     assert np.abs(tv_prox(y, lam) - tv_prox_reference(y, lam, 30000)).max() < 1e-3
 
 
-def test_tv_binned_pads_last_bin():
-    y = np.array([1.0, 1.0, 1.0, 4.0, 4.0])
-    out = tv_prox_binned(y, 1e-9, 3)
-    assert np.allclose(out, [1, 1, 1, 4, 4])
+def test_bin_means_start_at_the_region(spark):
+    """Positions 7 to 26 in bins of 10: two bins from 7; a short last bin is padded with its last value; a gap is left out."""
+    full = [("a", p, float(p)) for p in range(7, 27)]
+    short = [("b", p, float(p)) for p in range(3, 18) if p not in (5, 6)]
+    df = spark.createDataFrame(full + short, "chrom string, pos long, v double").repartition(3)
+    got = {(r.chrom, r.bin): r.bin_mean for r in W.bin_means(df, ["chrom"], "pos", "v", 10).collect()}
+    b0 = [p for p in range(3, 13) if p not in (5, 6)]
+    assert got == {("a", 0): 11.5, ("a", 1): 21.5, ("b", 0): sum(b0) / 8, ("b", 1): (13 + 14 + 15 + 16 + 17 * 6) / 10}
 
 
 # --- matrix_4x3 / mut_8 -------------------------------------------------------
@@ -124,8 +137,8 @@ def test_extract_sequences_unknown_chrom_and_truncation(spark):
 
     g = spark.createDataFrame([("c1", "acgtacgtac")], "chrom string, seq string")
     bed = spark.createDataFrame([(0, "c1", 2, 6), (1, "c1", 8, 20), (2, "cX", 0, 4), (3, "c1", 5, 5)], "row_idx long, chrom string, start long, end long")
-    for halo in (0, 2):
-        out = {r.row_idx: r.seq for r in extract_sequences(bed, chunk_genome(g, 3, halo), 3, halo).collect()}
+    for size in (3, 5):
+        out = {r.row_idx: r.seq for r in extract_sequences(bed, chunk_genome(g, size), size).collect()}
         assert out == {0: "GTAC", 1: "AC", 2: "", 3: ""}
 
 
@@ -242,7 +255,7 @@ def test_nmf_nonnegative_and_error_decreases(spark):
     w0, h0 = rng.random((200, 3)), rng.random((3, 5))
     y = w0 @ h0
     df = spark.createDataFrame([("c1", i, [float(v) for v in y[i]]) for i in range(200)], "chrom string, pos long, y array<double>")
-    res = nmf_fused_lasso(df, 3, num_iter=8, l2=1e-6, fl=0.0, checkpoint=False, tol=0.0)
+    res = nmf_fused_lasso(df, 3, bin_size=20, fl_every=3, num_iter=8, l2=1e-6, fl=0.0, tol=0.0)
     errs = [h["rel_err"] for h in res.history]
     assert all(b <= a + 1e-9 for a, b in zip(errs, errs[1:]))
     assert (res.H >= 0).all()
@@ -250,6 +263,53 @@ def test_nmf_nonnegative_and_error_decreases(spark):
     assert (w >= 0).all()
 
 
+def test_nmf_follows_a_dense_run(spark, monkeypatch):
+    """Blocks, region-anchored bins and joins give the factors of the same steps on one dense array."""
+    from assayspark.operators import nmf as N
+
+    rng = np.random.default_rng(1)
+    lo, n, k, b, lam, l2 = 13, 157, 2, 5, 0.2, 0.01
+    data = {c: rng.random((n, 4)) for c in ("c1", "c2")}
+    df = spark.createDataFrame([(c, lo + i, [float(v) for v in y[i]]) for c, y in data.items() for i in range(n)], "chrom string, pos long, y array<double>")
+    y = np.concatenate([data["c1"], data["c2"]])
+    H = N.init_h(y.T @ y, k)
+    for it in range(4):
+        w = np.maximum(y @ np.linalg.solve(H @ H.T + l2 * np.eye(k), H).T, 0)
+        if it % 3 == 0:
+            for part in (slice(0, n), slice(n, 2 * n)):
+                for j in range(k):
+                    padded = np.concatenate([w[part, j], np.full(-n % b, w[part, j][-1])])
+                    w[part, j] = np.maximum(np.repeat(tv_prox(padded.reshape(-1, b).mean(axis=1), lam), b)[:n], 0)
+        H = np.maximum(np.linalg.solve(w.T @ w + l2 * np.eye(k), w.T @ y), 0)
+    for parts in (1, 5):
+        blocks = N.to_blocks(df.repartition(parts), b)
+        res = N.nmf_fused_lasso(None, k, bin_size=b, fl_every=3, num_iter=4, l2=l2, fl=lam, tol=0.0, blocks=blocks)
+        assert np.allclose(res.H, H)
+        got = {(r.chrom, r.pos): r.w for r in res.W().collect()}
+        assert np.allclose([got[(c, lo + i)] for c in ("c1", "c2") for i in range(n)], w)
+        assert np.isclose(N.relative_error(df, res.W(), res.H).first().rel_err, np.linalg.norm(y - w @ H) / np.linalg.norm(y))
+        assert np.isclose(res.history[-1]["rel_err"], np.linalg.norm(y - w @ H) / np.linalg.norm(y))
+
+
+def test_vector_assembly_is_not_quadratic(spark):
+    """16,000 variables, some cells missing, in seconds."""
+    import time
+
+    from assayspark.operators.vectors import assemble_dense
+
+    n = 16_000
+    m = spark.range(6 * n).select((F.col("id") % 6).alias("sample"), F.floor(F.col("id") / 6).alias("feature"), F.col("id").cast("double").alias("value"))
+    m = m.where("not (sample = 2 and feature in (0, 7, 15999))")
+    t = time.time()
+    out, names = assemble_dense(m, fill=-1.0)
+    rows = {r.sample: r.features.toArray() for r in out.collect()}
+    assert time.time() - t < 40 and len(names) == n
+    assert (rows[1] == np.arange(n) * 6 + 1).all()
+    want = np.arange(n) * 6.0 + 2
+    want[[0, 7, 15999]] = -1
+    assert (rows[2] == want).all()
+
+
 def test_exact_split_after_shuffle_is_exact(spark):
     # Input order after a shuffle is not stable between evaluations; the split size must still be exact.
     base = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("g"))

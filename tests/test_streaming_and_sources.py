@@ -32,6 +32,26 @@ def test_first_line_comment_and_header(spark, tmp_path):
     assert rows == [("#odd", "S2", "stop"), ("TP53", "S1", "missense")]
 
 
+def test_files_with_and_without_a_comment_line(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("#version 1\nHugo_Symbol\tTumor_Sample_Barcode\tConsequence\nA\tS1\tx\nB\tS2\ty\n")
+    (tmp_path / "b.tsv").write_text("Consequence\tHugo_Symbol\tTumor_Sample_Barcode\nz\tC\tS3\n\tD\tS4\n")
+    m = R.read_mutations(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")])
+    assert sorted(tuple(r) for r in m.collect()) == [("A", "S1", "x"), ("B", "S2", "y"), ("C", "S3", "z"), ("D", "S4", None)]
+
+
+def test_cohorts_with_different_samples(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("Hugo_Symbol\tEntrez_Gene_Id\tS1\tS2\nG1\t1\t1.5\tx\nG2\t2\t\t4\n")
+    (tmp_path / "b.tsv").write_text("Hugo_Symbol\tEntrez_Gene_Id\tT9\tT8\tS1\nG1\t1\t9\t8\t7\n")
+    e = R.read_expression(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")])
+    got = sorted((r.dataset[-5:], r.feature, r["sample"], r.value) for r in e.fillna(-1.0).collect())
+    assert got == [
+        ("a.tsv", "G1", "S1", 1.5), ("a.tsv", "G1", "S2", -1.0), ("a.tsv", "G2", "S1", -1.0), ("a.tsv", "G2", "S2", 4.0),
+        ("b.tsv", "G1", "S1", 7.0), ("b.tsv", "G1", "T8", 8.0), ("b.tsv", "G1", "T9", 9.0),
+    ]
+    t = R.read_tsv_table(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")])
+    assert t.columns == ["Hugo_Symbol", "Entrez_Gene_Id", "S1", "S2", "T9", "T8", "dataset"]
+
+
 def test_row_index_follows_file_order(spark, tmp_path):
     d = tmp_path / "lines"
     d.mkdir()
@@ -44,8 +64,12 @@ def test_row_index_follows_file_order(spark, tmp_path):
 def test_fasta_scan(spark, tmp_path):
     p = tmp_path / "g.fa"
     p.write_text(">chr1 desc\nACGT\nacgn\n>chr2\n\n>chr3\nTT\n")
-    got = {r.chrom: r.seq for r in R.read_fasta(spark, str(p)).collect()}
-    assert got == {"chr1": "ACGTacgn", "chr2": "", "chr3": "TT"}
+    for chunk, one in ((100, ["ACGTacgn"]), (3, ["ACG", "Tac", "gn"])):
+        got = {}
+        for r in sorted(R.read_fasta(spark, str(p), chunk).collect(), key=lambda r: (r.chrom, r.chunk_id)):
+            assert r.chunk_start == r.chunk_id * chunk
+            got.setdefault(r.chrom, []).append(r.seq)
+        assert got == {"chr1": one, "chr2": [""], "chr3": ["TT"]}
 
 
 def test_manifest_unknown_label_fails(spark, tmp_path):
