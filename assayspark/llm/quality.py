@@ -27,7 +27,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_same_words"]
 ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 TINY = 1e-4
@@ -58,13 +58,14 @@ def _repeat_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(cover[:-1]) > 0).sum())
 
 
-def text_counts(text: bytes) -> tuple[int, int, int, int, int, int]:
-    """The counts of ``COUNTS`` over one whole UTF-8 text."""
+def text_counts(text: bytes) -> tuple[int, ...]:
+    """The counts of ``COUNTS`` over one whole UTF-8 text; n_same_words are words equal to the word before."""
     words = text.split()  # splits at exactly the white space of the contract
     chars = len(b"".join(words).translate(None, _CONTINUATION))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip()]
-    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeat_words(words), len(lines)
+    same = sum(map(bytes.__eq__, words, words[1:]))
+    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeat_words(words), len(lines), same
 
 
 def with_counts(docs: DataFrame, keep: Sequence[str], text: str = "text", name: str = "counts") -> DataFrame:
@@ -101,6 +102,7 @@ def metrics(counts: str = "counts") -> dict[str, Column]:
         "symbols": c("n_symbols") / words,
         "dup_lines": c("n_dup_lines") / lines,
         "repeats": c("n_repeat_words") / words,
+        "same_words": c("n_same_words") / words,
     }
 
 
@@ -153,7 +155,7 @@ def fences(sketches: DataFrame, lang: str, source: str, min_docs: int, spread: f
 
 
 #: Beyond the spread of the group, a rate may exceed its upper quartile by so much; keeps short clean texts.
-SLACK = {"mean_word": 2.0, "symbols": 0.25, "dup_lines": 0.4, "repeats": 0.1}
+SLACK = {"mean_word": 2.0, "symbols": 0.25, "dup_lines": 0.4, "repeats": 0.3, "same_words": 0.2}
 
 
 def judge(
