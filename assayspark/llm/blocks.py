@@ -121,14 +121,19 @@ def leftmost_minima(values: np.ndarray, valid: np.ndarray, k: int, window: int)
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(places), np.concatenate(hashes)
 
 
+_SENT = np.uint64((1 << 48) - 1)
 HASHES = "bucket int, block int, hashes binary, weight binary"
 FLAGS = "bucket int, block int, shared binary"
 
 
 def hash_rows(block: int, hashes: np.ndarray, n: int) -> pa.Table:
-    """One row per bucket with the distinct hashes of the block, and whether each occurs once or more in it."""
-    u, c = np.unique(hashes, return_counts=True)
-    out = [(b, u[rows].tobytes(), np.minimum(c[rows], 2).astype(np.uint8).tobytes()) for b, rows in by_bucket(bucket_of(u, n))]
+    """One row per bucket with the distinct hashes of the block, and whether each occurs once or more in it.
+
+    48 bits of a hash travel: two hashes that agree in them are only taken for
+    shared, and what follows compares whole strings.
+    """
+    u, c = np.unique(hashes & _SENT, return_counts=True)
+    out = [(b, u[rows].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(c[rows] > 1).tobytes()) for b, rows in by_bucket(bucket_of(u, n))]
     return pa.table(
         {
             "bucket": pa.array([o[0] for o in out], pa.int32()),
@@ -145,9 +150,14 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
 
 def flag_shared(table: pa.Table) -> pa.Table:
     """For every row of ``hash_rows`` that met in a bucket: which of its hashes occur twice or more anywhere."""
-    parts, weights = unpack(table.column("hashes"), np.uint64), unpack(table.column("weight"), np.uint8)
+    parts = []
+    for x in unpack(table.column("hashes"), np.uint8):
+        h = np.zeros((len(x) // 6, 8), dtype=np.uint8)
+        h[:, :6] = x.reshape(-1, 6)
+        parts.append(h.view(np.uint64).ravel())
+    more = np.concatenate([np.unpackbits(w, count=len(p)) for w, p in zip(unpack(table.column("weight"), np.uint8), parts, strict=True)])
     u, inv = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(inv, weights=np.concatenate(weights), minlength=len(u))
+    total = np.bincount(inv, weights=more + 1.0, minlength=len(u))
     shared, at, out = (total >= 2)[inv], 0, []
     for p in parts:
         out.append(np.packbits(shared[at : at + len(p)]).tobytes())
@@ -157,7 +167,7 @@ def flag_shared(table: pa.Table) -> pa.Table:
 
 def read_flags(hashes: np.ndarray, flags: pa.Table, n: int) -> np.ndarray:
     """The answer of ``flag_shared`` for each of the block's ``hashes``."""
-    u, inv = np.unique(hashes, return_inverse=True)
+    u, inv = np.unique(hashes & _SENT, return_inverse=True)
     said = dict(zip(flags.column("bucket").to_pylist(), flags.column("shared").to_pylist(), strict=True))
     shared = np.zeros(len(u), dtype=bool)
     for b, rows in by_bucket(bucket_of(u, n)):

@@ -35,7 +35,7 @@ from assayspark.llm.blocks import (
 LENGTH = 50
 RUN = 16
 
-UNITS = "bucket int, block int, khash binary, digest binary, doc binary, at binary, count binary, span binary, done_at binary, done_count binary"
+UNITS = "bucket int, block int, khash binary, doc binary, at binary, count binary, span binary, done_at binary, done_count binary"
 CUTS = "block int, at binary, windows binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -50,6 +50,11 @@ def _choices(b: Block, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return first, count, khash
 
 
+def _digests(spans: list[bytes]) -> np.ndarray:
+    """128-bit digests, two numbers per span."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, spans)), dtype=">u8").reshape(-1, 2)
+
+
 def _units(b: Block, flags: pa.Table, n: int, length: int) -> pa.Table:
     """Spans of the strings whose run recurs; of equal spans in the block only that of the smallest doc_id travels."""
     at, count, khash = _choices(b, length)
@@ -59,7 +64,7 @@ def _units(b: Block, flags: pa.Table, n: int, length: int) -> pa.Table:
     doc = b.ids[np.searchsorted(b.starts, at, side="right") - 1]
     data = b"".join(b.texts)
     spans = [data[i : i + c + length - 1] for i, c in zip(at.tolist(), count.tolist(), strict=True)]
-    digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s) for s in spans), dtype=">u8").reshape(-1, 2)
+    digest = _digests(spans)
     # Documents come in doc_id order, so the first of equal spans has the smallest id; those of the same id are not later copies.
     order = np.lexsort((np.arange(len(at)), digest[:, 1], digest[:, 0]))
     new = np.ones(len(at), dtype=bool)
@@ -68,15 +73,14 @@ def _units(b: Block, flags: pa.Table, n: int, length: int) -> pa.Table:
     done = np.zeros(len(at), dtype=bool)
     done[order] = doc[order] > doc[head]
     go = ~done
-    rows: dict[str, list] = {k: [] for k in ("bucket", "khash", "digest", "doc", "at", "count", "span")}
+    rows: dict[str, list] = {k: [] for k in ("bucket", "khash", "doc", "at", "count", "span")}
     pick = np.flatnonzero(go)
     for k, part in by_bucket(bucket_of(khash[pick], n)):
         r = pick[part]
         rows["bucket"].append(k)
         rows["khash"].append(khash[r].tobytes())
-        rows["digest"].append(digest[r].tobytes())
         rows["doc"].append(doc[r].tobytes())
-        rows["at"].append(at[r].astype(np.int64).tobytes())
+        rows["at"].append(at[r].astype(np.int32).tobytes())
         rows["count"].append(count[r].astype(np.uint8).tobytes())
         rows["span"].append(b"".join(spans[i] for i in r.tolist()))
     m = len(rows["bucket"])
@@ -85,9 +89,9 @@ def _units(b: Block, flags: pa.Table, n: int, length: int) -> pa.Table:
     table |= {"block": pa.array([b.number] * m, pa.int32()), "done_at": pa.array(none, pa.binary()), "done_count": pa.array(none, pa.binary())}
     out = pa.table(table)
     if done.any():
-        settled = {k: pa.array([b""], pa.binary()) for k in ("khash", "digest", "doc", "at", "count", "span")}
+        settled = {k: pa.array([b""], pa.binary()) for k in ("khash", "doc", "at", "count", "span")}
         settled |= {"bucket": pa.array([b.number % n], pa.int32()), "block": pa.array([b.number], pa.int32())}
-        settled |= {"done_at": pa.array([at[done].astype(np.int64).tobytes()], pa.binary()), "done_count": pa.array([count[done].astype(np.uint8).tobytes()], pa.binary())}
+        settled |= {"done_at": pa.array([at[done].astype(np.int32).tobytes()], pa.binary()), "done_count": pa.array([count[done].astype(np.uint8).tobytes()], pa.binary())}
         out = pa.concat_tables([out, pa.table({k: settled[k] for k in out.column_names})])
     return out.select([c.split()[0] for c in UNITS.split(", ")])
 
@@ -122,13 +126,13 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
 
 def _resolve(table: pa.Table, length: int) -> pa.Table:
     """Which strings of the spans that met in a bucket also start in a document with a smaller doc_id."""
-    sizes = [len(x) // 8 for x in table.column("at").to_pylist()]
+    sizes = [len(x) // 4 for x in table.column("at").to_pylist()]
     khash = np.concatenate(unpack(table.column("khash"), np.uint64))
-    digest = np.concatenate(unpack(table.column("digest"), ">u8")).reshape(-1, 2)
     doc = np.concatenate(unpack(table.column("doc"), np.int64))
     count = np.concatenate(unpack(table.column("count"), np.uint8)).astype(np.int64)
     data = b"".join(table.column("span").to_pylist())
     begin = np.concatenate([[0], np.cumsum(count + length - 1)])[:-1]
+    digest = _digests([data[i : i + c + length - 1] for i, c in zip(begin.tolist(), count.tolist(), strict=True)])
     full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
     masks = np.zeros(len(khash), dtype=np.uint64)
     if len(khash):
@@ -151,7 +155,7 @@ def _resolve(table: pa.Table, length: int) -> pa.Table:
         masks[order[again]] = masks[head[again]]
     out, i = [], 0
     for block, m, at, done_at, done_count in zip(
-        table.column("block").to_pylist(), sizes, unpack(table.column("at"), np.int64), unpack(table.column("done_at"), np.int64), unpack(table.column("done_count"), np.uint8), strict=True
+        table.column("block").to_pylist(), sizes, unpack(table.column("at"), np.int32), unpack(table.column("done_at"), np.int32), unpack(table.column("done_count"), np.uint8), strict=True
     ):
         mine = masks[i : i + m]
         i += m
@@ -206,7 +210,7 @@ def _windows(rows: np.ndarray, data: bytes, begin: np.ndarray, count: np.ndarray
 def _cut(b: Block, cuts: pa.Table, length: int) -> pa.Table:
     data = b.bytes()
     cover = np.zeros(len(data) + 1, dtype=np.int32)
-    for at, masks in zip(unpack(cuts.column("at"), np.int64), unpack(cuts.column("windows"), np.uint64), strict=True):
+    for at, masks in zip(unpack(cuts.column("at"), np.int32), unpack(cuts.column("windows"), np.uint64), strict=True):
         bits = (masks[:, None] >> np.arange(length - RUN + 1, dtype=np.uint64)[None, :]) & np.uint64(1)
         row, k = np.nonzero(bits)
         starts = at[row] + k
