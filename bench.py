@@ -39,6 +39,7 @@ HEADLINE = [
     "a36_auc_per_fold",
     "m22_m23_nmf_factors",        # iterative factorisation with smoothing
     "m04_m10_k01_k02_predictions",  # mutation classifier end to end
+    "m11_m12_a35_cluster_cells",  # cells: variable genes, PCA, k-means, AMI
 ]
 
 
