@@ -35,6 +35,9 @@ ALLOW = (
     r"^[-_=+/0-9]+$",
 )
 
+#: Allow-listed shapes have at most so many characters.
+ALLOW_CHARS = 256
+
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 
@@ -68,23 +71,47 @@ def _none() -> Column:
     return F.array().cast(f"array<{SPAN}>")
 
 
-def _entropy_span(text: Column, span: Column) -> Column:
-    """The span cut to its windows of high entropy (NULL if it has none).
+def _candidates(text: Column) -> Column:
+    """Candidate strings with their start, their characters and the entropy that a window must reach."""
+    pieces = F.split(F.regexp_replace(text, CANDIDATE, OPEN + "$0" + CLOSE), OPEN)
+    first = F.struct(F.char_length(F.element_at(pieces, 1)).alias("pos"), F.array().cast("array<struct<start:int,s:string>>").alias("out"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        found = F.struct(acc["pos"].alias("start"), F.substring_index(piece, CLOSE, 1).alias("s"))
+        return F.struct((acc["pos"] + F.char_length(piece) - 1).alias("pos"), F.concat(acc["out"], F.array(found)).alias("out"))
+
+    all_found = F.aggregate(F.slice(pieces, 2, F.size(pieces)), first, step, lambda acc: acc["out"])
+
+    def wanted(c: Column) -> Column:
+        shape = F.lit(False)
+        for pattern in ALLOW:
+            shape = shape | c["s"].rlike(pattern)
+        allowed = F.when(F.char_length(c["s"]) <= ALLOW_CHARS, shape).otherwise(F.lit(False))
+        return c["s"].rlike("[0-9]") & c["s"].rlike("[A-Za-z]") & ~allowed
+
+    def prepared(c: Column) -> Column:
+        limit = (
+            F.when(c["s"].rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(ENTROPY["hex"]))
+            .when(c["s"].rlike("[+/=]"), F.lit(ENTROPY["base64"]))
+            .otherwise(F.lit(ENTROPY["alnum"]))
+        )
+        return F.struct(c["start"].alias("start"), F.split(c["s"], "").alias("chars"), limit.alias("limit"))
+
+    none = F.array().cast("array<struct<start:int,chars:array<string>,limit:double>>")
+    return F.when(text.rlike(CANDIDATE), F.transform(F.filter(all_found, wanted), prepared)).otherwise(none)
+
+
+def _entropy_span(c: Column) -> Column:
+    """The candidate cut to its windows of high entropy (NULL if it has none).
 
     S = sum of c * log2(c) over the character counts of the window changes by
     f(c_in + 1) - f(c_in) and f(c_out - 1) - f(c_out) as the window moves by a
     character, and the entropy is log2(W) - S / W.
     """
-    s = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-    chars = F.split(s, "")
-    f = lambda c: F.when(c <= 1, F.lit(0.0)).otherwise(c * F.log2(c.cast("double")))
+    chars = c["chars"]
+    f = lambda n: F.when(n <= 1, F.lit(0.0)).otherwise(n * F.log2(n.cast("double")))
     count = lambda part, ch: F.size(F.filter(part, lambda x: x == ch))
-    limit = (
-        F.when(s.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(ENTROPY["hex"]))
-        .when(s.rlike("[+/=]"), F.lit(ENTROPY["base64"]))
-        .otherwise(F.lit(ENTROPY["alnum"]))
-    )
-    high = lambda x: (F.log2(F.lit(float(WINDOW))) - x / WINDOW) >= limit
+    high = lambda x: (F.log2(F.lit(float(WINDOW))) - x / WINDOW) >= c["limit"]
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
 
     def slide(acc: Column, i: Column) -> Column:
@@ -102,20 +129,16 @@ def _entropy_span(text: Column, span: Column) -> Column:
             F.when(hit, first).otherwise(acc["hi"]).alias("hi"),
         )
 
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | s.rlike(pattern)
-    wanted = s.rlike("[0-9]") & s.rlike("[A-Za-z]") & ~allowed
     end = lambda acc: F.when(
         acc["lo"].isNotNull(),
         F.struct(
-            (span["start"] + acc["lo"] - 1).alias("start"),
+            (c["start"] + acc["lo"] - 1).alias("start"),
             F.lit(len(KINDS)).alias("rank"),
             F.lit("entropy").alias("kind"),
-            (span["start"] + acc["hi"] + WINDOW - 1).alias("end"),
+            (c["start"] + acc["hi"] + WINDOW - 1).alias("end"),
         ),
     )
-    return F.when(wanted, F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, slide, end))
+    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, slide, end)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -133,9 +156,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         "_row",
         "_t",
         F.concat(_spans(t, ASSIGN, "assign", 0), _spans(t, ACCESS, "access", 1), _spans(t, HEX, "hex", 2)).alias("_b"),
-        _spans(t, CANDIDATE, "candidate", 3).alias("_c"),
+        _candidates(t).alias("_c"),
     )
-    d = d.select("_row", F.array_sort("_b").alias("_b"), F.transform("_c", lambda c: _entropy_span(t, c)).alias("_e"))
+    d = d.select("_row", F.array_sort("_b").alias("_b"), F.transform("_c", _entropy_span).alias("_e"))
     inside = lambda e: F.exists("_b", lambda b: (b["start"] <= e["start"]) & (e["end"] <= b["end"]))
     extra = F.filter("_e", lambda e: e.isNotNull() & ~inside(e))
     keep = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("base", "spans")]

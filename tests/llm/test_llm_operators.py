@@ -385,3 +385,9 @@ def test_oracle(spark, name):
     norm = lambda rows: sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
     order = [c[0] for c in want.description]
     assert norm(got.select(*order).collect()) == norm(want.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+def test_no_pair_producing_join(spark, name):
+    plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
