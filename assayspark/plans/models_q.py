@@ -292,7 +292,7 @@ def _classifiers():
     return {
         "forest": ML.forest(n_trees=200, depth=10, min_leaf=1, subset="0.3", weight=None),
         "ovr_linear_svc": ML.one_vs_rest_svc(max_iter=100),
-        "ovr_boosted": ML.one_vs_rest_boosted(max_iter=20, depth=3),
+        "ovr_boosted": ML.one_vs_rest_boosted(max_iter=5, depth=3),
         "multinomial_en": ML.multinomial_elastic_net(0.01, 0.5, 100),
     }
 
