@@ -320,6 +320,42 @@ def test_repeated_passages(spark):
     assert chain.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_of_one_source_are_found_across_long_gaps(spark):
+    """Header and footer around unrelated words, on both sides, on one side only and twice as long."""
+    rng = random.Random(12)
+    text = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
+    p, q, long_p, long_q, r, s = text(60), text(60), text(500), text(500), text(60), text(60)
+    docs = {
+        1: p + text(80) + q, 2: p + text(80) + q, 3: long_p + text(800) + long_q, 4: long_p + text(800) + long_q,
+        5: text(7) + r + s + text(7), 6: text(3) + r + text(100) + s + text(9),
+    }
+    rows = [(i, " ".join(w), None, None) for i, w in docs.items()]
+    got = chain.repeated_passages(frame(spark, rows), block_bytes=2048).collect()
+    spans = sorted((x.doc_id, x.start_word, x.end_word, x.src_doc_id, x.src_start, x.src_end, x.n_match, x.similarity) for x in got)
+    assert spans == [
+        (2, 0, 60, 1, 0, 60, 60, 1.0), (2, 140, 200, 1, 140, 200, 60, 1.0), (4, 0, 500, 3, 0, 500, 500, 1.0), (4, 1300, 1800, 3, 1300, 1800, 500, 1.0),
+        (6, 3, 63, 5, 7, 67, 60, 1.0), (6, 163, 223, 5, 67, 127, 60, 1.0),
+    ]
+
+
+def test_similar_parts_have_the_most_words_of_all_cuts():
+    rng = random.Random(4)
+    for _ in range(60):
+        a = np.array([rng.randint(1, 10**6) for _ in range(60)], dtype=np.uint64)
+        b = np.array([0 if rng.random() < 0.35 else w for w in a.tolist()], dtype=np.uint64)
+        parts = chain.similar_parts(a, b, [(0, 0, 60)], 0.8, 6)
+        same = (a == b).tolist()
+        best = [0] * 61
+        for j in range(1, 61):
+            best[j] = best[j - 1]
+            for i in range(j):
+                n = sum(same[i:j])
+                if n >= 6 and n >= 0.8 * (j - i):
+                    best[j] = max(best[j], best[i] + n)
+        assert sum(sum(same[x0:x1]) for x0, x1, _, _ in parts) == best[60]
+        assert all((x0, x1) == (y0, y1) and sum(same[x0:x1]) >= max(6, 0.8 * (x1 - x0)) for x0, x1, y0, y1 in parts)
+
+
 def test_common_words_is_the_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(60):
