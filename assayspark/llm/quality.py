@@ -2,9 +2,10 @@
 
 The sketch of a metric is a table of counts over logarithmic buckets (the
 DDSketch layout): merging two sketches adds their counts, every quantile is
-within ``ACCURACY`` of the exact one, and nothing in it is random.  A group's
-fences lie far outside its middle half, so a rule rejects outliers of the
-group, not a fixed share of it.
+within ``ACCURACY`` of the exact one, and nothing in it is random.  A limit
+uses only the half of a group that lies on the other side of its median, so it
+rejects outliers, not a fixed share, and junk in up to half of a group does not
+move it.
 """
 
 from __future__ import annotations
@@ -125,41 +126,51 @@ def quantiles(sketches: DataFrame, keys: Sequence[str], probs: dict[str, float])
     return run.groupBy(*keys, "metric").agg(F.max("total").alias("total"), *at)
 
 
-def fences(sketches: DataFrame, lang: str, source: str, min_docs: int, spread: float, slack: dict[str, float]) -> DataFrame:
+#: Beyond the spread of the group, a rate may exceed its median by so much; keeps short clean texts.
+SLACK = {"mean_word": 2.0, "symbols": 0.25, "dup_lines": 0.4, "repeats": 0.1, "same_words": 0.2}
+#: Rates of repetition, junk in any source: the strictest of the limits of source, language and corpus, and never above this.
+CAPS = {"dup_lines": 0.8, "repeats": 0.25, "same_words": 0.6}
+#: A text may repeat so many words besides its share: one window that occurs twice, which is much of a short text.
+SPARE_REPEATS = 2 * WINDOW
+#: A group counts as much as the level above it from so many documents on; a corpus of SMALL documents has twice the slack.
+PRIOR, SMALL = 50.0, 20.0
+
+
+def fences(sketches: DataFrame, lang: str, source: str, prior: float, spread: float, slack: dict[str, float]) -> DataFrame:
     """One row per (lang, source): a limit ``hi_<metric>`` for each metric and ``lo_mean_word``.
 
-    A group of fewer than ``min_docs`` documents takes the merged sketch of its
-    language, and a language that small the merged sketch of the corpus; if that
-    is small too, no limit applies.  limit = q75 + ``spread`` * (q75 - q25) + slack.
+    Quantiles of a group of n documents have the weight n / (n + ``prior``); the
+    rest comes from its language, and there in the same way from the corpus.
+    limit = q50 + 2 * ``spread`` * (q50 - q25) + slack, for a metric of ``CAPS``
+    the least over the three levels and the cap.
     """
-    probs = {"q25": 0.25, "q75": 0.75}
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     merged_lang = sketches.groupBy(lang, "metric", "bucket").agg(F.sum("n").alias("n"))
     merged_all = sketches.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
-    ren = lambda q, p: q.select(*[c for c in q.columns if c not in ("total", "q25", "q75")], *[F.col(c).alias(p + c) for c in ("total", "q25", "q75")])
+    ren = lambda q, p: q.select(*[c for c in q.columns if c not in ("total", *probs)], *[F.col(c).alias(p + c) for c in ("total", *probs)])
     own, by_lang, by_all = quantiles(sketches, [lang, source], probs), ren(quantiles(merged_lang, [lang], probs), "l_"), ren(quantiles(merged_all, [], probs), "a_")
     by_lang = by_lang.withColumnRenamed(lang, "_l").withColumnRenamed("metric", "_m")
     q = own.join(by_lang, F.col(lang).eqNullSafe(F.col("_l")) & (F.col("metric") == F.col("_m"))).join(by_all, "metric")
 
-    def level(c: str) -> Column:
-        return (
-            F.when(F.col("total") >= min_docs, F.col(c))
-            .when(F.col("l_total") >= min_docs, F.col("l_" + c))
-            .when(F.col("a_total") >= min_docs, F.col("a_" + c))
-        )
-
-    lo_q, hi_q = level("q25"), level("q75")
-    extra = F.element_at(F.create_map(*[x for m, s in slack.items() for x in (F.lit(m), F.lit(s))]), F.col("metric"))
-    q = q.select(lang, source, "metric", (hi_q + (hi_q - lo_q) * spread + extra).alias("hi"), (lo_q - (hi_q - lo_q) * spread - extra).alias("lo"))
+    def blend(p: str, above: dict[str, Column]) -> dict[str, Column]:
+        w = F.col(p + "total") / (F.col(p + "total") + prior)
+        return {c: w * F.col(p + c) + (1 - w) * v for c, v in above.items()}
+
+    at_all = {c: F.col("a_" + c) for c in probs}
+    at_lang = blend("l_", at_all)
+    at_own = blend("", at_lang)
+    by_metric = lambda d: F.element_at(F.create_map(*[x for m, v in d.items() for x in (F.lit(m), F.lit(v))]), F.col("metric"))
+    extra = by_metric(slack) * (1 + SMALL / F.col("a_total"))
+    hi = lambda v: v["q50"] + (v["q50"] - v["q25"]) * (2 * spread) + extra
+    strict = F.least(hi(at_own), hi(at_lang), hi(at_all), by_metric({m: CAPS.get(m, math.inf) for m in slack}))
+    lo = at_own["q50"] - (at_own["q75"] - at_own["q50"]) * (2 * spread) - extra
+    q = q.select(lang, source, "metric", F.when(F.col("metric").isin(*CAPS), strict).otherwise(hi(at_own)).alias("hi"), lo.alias("lo"))
     pick = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c)))
     return q.groupBy(lang, source).agg(*[pick(m, "hi").alias(f"hi_{m}") for m in slack], pick("mean_word", "lo").alias("lo_mean_word"))
 
 
-#: Beyond the spread of the group, a rate may exceed its upper quartile by so much; keeps short clean texts.
-SLACK = {"mean_word": 2.0, "symbols": 0.25, "dup_lines": 0.4, "repeats": 0.3, "same_words": 0.2}
-
-
 def judge(
-    counted: DataFrame, lang: str = "lang", source: str = "source", min_docs: int = 200, spread: float = 6.0, sketches: DataFrame | None = None
+    counted: DataFrame, lang: str = "lang", source: str = "source", prior: float = PRIOR, spread: float = 6.0, sketches: DataFrame | None = None
 ) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to rows that carry a ``counts`` struct.
 
@@ -168,11 +179,12 @@ def judge(
     rows have been counted.  NULL language or source is a group of its own.
     """
     sk = sketch(counted, [lang, source]) if sketches is None else sketches
-    limits = small_side(materialize(fences(sk, lang, source, min_docs, spread, SLACK), "quality-limits").select(
+    limits = small_side(materialize(fences(sk, lang, source, prior, spread, SLACK), "quality-limits").select(
         F.col(lang).alias("_lang"), F.col(source).alias("_source"), *[f"hi_{m}" for m in SLACK], "lo_mean_word"))
     j = counted.join(limits, F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left")
     rates = metrics()
-    odd = [F.coalesce(v > F.col(f"hi_{m}"), F.lit(False)) for m, v in rates.items()]
+    spare = {"repeats": F.lit(float(SPARE_REPEATS)) / F.nullif(F.col("counts.n_words").cast("double"), F.lit(0.0))}
+    odd = [F.coalesce(v > F.col(f"hi_{m}") + spare.get(m, F.lit(0.0)), F.lit(False)) for m, v in rates.items()]
     odd.append(F.coalesce(rates["mean_word"] < F.col("lo_mean_word"), F.lit(False)))
     any_odd = odd[0]
     for o in odd[1:]:

@@ -189,6 +189,37 @@ def test_quality_limits_follow_the_group_and_merge(spark):
     assert abs(q / exact - 1) <= 2.1 * quality.ACCURACY
 
 
+@pytest.mark.parametrize("size", [60, 210])
+@pytest.mark.parametrize("share", [0.3, 0.5])
+def test_quality_rejects_the_junk_of_a_bad_source(spark, share, size):
+    """Junk in up to half of a source does not set the source's own limits, whatever the size of the source."""
+    rng = random.Random(7)
+    words = lambda n: [f"{rng.choice(['alpha', 'be', 'gammas', 'd'])}{rng.randint(0, 10**6)}" for _ in range(n)]
+    clean = lambda: " ".join(words(60))
+
+    def lines():
+        half = [" ".join(words(3)) for _ in range(20)]
+        return "\n".join(rng.sample(half, 20) + rng.sample(half, 20))
+
+    def windows():
+        w = words(450)
+        return " ".join(w + [" ".join(w[k : k + 12]) for k in (40, 120, 200, 280, 360)])
+
+    kinds = {"lines": lines, "same": lambda: " ".join(w + " " + w for w in words(30)), "windows": windows, "symbols": lambda: " ".join("#" + w for w in words(60))}
+    rows = [(i, clean(), "en", f"s{i % 4}") for i in range(400)]
+    good, junk = {r[0] for r in rows}, set()
+    for kind, make in kinds.items():
+        for i in range(size):
+            rows.append((1000 + len(rows), make() if i < share * size else clean(), "en", kind))
+            (junk if i < share * size else good).add(rows[-1][0])
+    short = words(56)
+    rows.append((5000, " ".join(short + short[10:19]), "en", "s1"))
+    got = {r.doc_id: (r.kept, r.base_failed) for r in quality.quality_table(frame(spark, rows)).collect()}
+    assert not any(b for _, b in got.values())
+    assert not {i for i in junk if got[i][0]}
+    assert not {i for i in good | {5000} if not got[i][0]}
+
+
 def test_sharding(spark, rows):
     got = sharding.shard_table(frame(spark, rows)).collect()
     assert len(got) == len(rows)
