@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayspark.llm import chain, chat, decontam, lpf, mixing, quality, secrets, sharding, simhash, urlrules
+from assayspark.llm import audit, centroids, chain, chat, decontam, linededup, lpf, mixing, quality, secrets, sharding, simhash, urlrules
 from assayspark.session import table
 
 
@@ -48,10 +48,29 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.url_table(table(spark, sf_dir, "pages"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_table(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_table(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_repeated_passages, op3_mixing, op4_chat, op5_substring_dedup, op6_decontamination, op7_sharding, op8_secrets, op9_quality, op10_url_rules,
+        op11_centroids, op12_line_dedup, op13_filter_audit,
     )
 }
-ORACLES = {"op3_mixing": mixing.MIX_SQL, "op4_chat": chat.CHAT_SQL}
+ORACLES = {
+    "op3_mixing": mixing.MIX_SQL,
+    "op4_chat": chat.CHAT_SQL,
+    "op11_centroids": centroids.CLUSTER_SQL,
+    "op12_line_dedup": linededup.LINE_SQL,
+    "op13_filter_audit": audit.AUDIT_SQL,
+}
