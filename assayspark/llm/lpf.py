@@ -10,10 +10,10 @@ smaller doc_id share ``LENGTH`` bytes?
    only if its run occurs twice in the corpus.  Blocks send their distinct run
    hashes to buckets and learn which occur twice (8 bytes for some 18 of text).
 2. The strings of the runs that recur go to a bucket by run hash, as the bytes
-   they span, with equal spans of a block merged.  The bucket builds the suffix
-   order of the string starts by prefix doubling, and inside each stretch of
-   ``LENGTH`` equal bytes the starts are ordered by doc_id, so the previous
-   smaller one of a start is the head of its stretch.
+   they span, with equal spans of a block merged.  The bucket sorts the string
+   starts into suffix order, cut at ``LENGTH`` bytes, and finds the previous
+   smaller start of each: where that shares the whole string, the longest
+   previous factor reaches the threshold.
 3. The answers return to the blocks, which cut the bytes out.
 """
 
@@ -96,32 +96,40 @@ def _units(b: Block, flags: pa.Table, n: int, length: int) -> pa.Table:
     return out.select([c.split()[0] for c in UNITS.split(", ")])
 
 
-def _ranks(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of rows by ``keys``, most significant first."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    for k in keys:
-        new[1:] |= k[order[1:]] != k[order[:-1]]
+def suffix_order(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix order of ``starts``, cut at ``length`` bytes, and where a start differs from the one before it.
+
+    Equal strings keep the order in which their starts are given.  Only the
+    starts are sorted, each by its own bytes.
+    """
+    keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[starts]).view(f"S{length}").ravel()
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return order, new
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank, in suffix order cut at ``length`` bytes, of every position that has that many bytes after it."""
+    order, new = suffix_order(data, np.arange(len(data) - length + 1), length)
     out = np.empty(len(order), dtype=np.int64)
     out[order] = np.cumsum(new)
     return out
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank, in suffix order cut at ``length`` bytes, of every position that has that many bytes after it.
+def has_previous(doc: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Whether the longest previous factor of each start, in suffix order, reaches the cut.
 
-    Prefix doubling: 8 bytes are their own rank as a big-endian number, then
-    ranks of 16, 32, ... bytes come from pairs, and the last pair overlaps.
+    Starts of equal strings stand in document order, so the previous smaller
+    one of a start is right before the first start of its document there, and
+    no next smaller one shares the whole string.
     """
-    padded = np.concatenate([data, np.zeros(7, np.uint8)])
-    rank = np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view(">u8").ravel().astype(np.uint64)
-    size = 8
-    while 2 * size <= length:
-        n = len(data) - 2 * size + 1
-        rank = _ranks(rank[:n], rank[size : size + n])
-        size *= 2
-    n = len(data) - length + 1
-    return _ranks(rank[:n], rank[length - size : length - size + n]) if size < length else rank[:n]
+    i = np.arange(len(doc))
+    run = new.copy()
+    run[1:] |= doc[1:] != doc[:-1]
+    previous_smaller = np.maximum.accumulate(np.where(run, i, 0)) - 1
+    return previous_smaller >= np.maximum.accumulate(np.where(new, i, 0))
 
 
 def _resolve(table: pa.Table, length: int) -> pa.Table:
@@ -192,19 +200,18 @@ def _parts(khash: np.ndarray, count: np.ndarray):
 
 
 def _windows(rows: np.ndarray, data: bytes, begin: np.ndarray, count: np.ndarray, doc: np.ndarray, masks: np.ndarray, length: int) -> None:
+    rows = rows[np.argsort(doc[rows], kind="stable")]
     n = count[rows]
     text = np.frombuffer(b"".join(data[b : b + c + length - 1] for b, c in zip(begin[rows].tolist(), n.tolist(), strict=True)), dtype=np.uint8)
     offset = np.concatenate([[0], np.cumsum(n + length - 1)])[:-1]
     unit = np.repeat(np.arange(len(rows)), n)
     k = np.arange(len(unit)) - np.repeat(np.cumsum(n) - n, n)
-    rank = suffix_ranks(text, length)[offset[unit] + k]
-    d = doc[rows][unit]
-    order = np.lexsort((d, rank))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = rank[order[1:]] != rank[order[:-1]]
-    head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    later = order[d[order] > d[head]]
-    np.bitwise_or.at(masks, rows[unit[later]], np.uint64(1) << k[later].astype(np.uint64))
+    order, new = suffix_order(text, offset[unit] + k, length)
+    later = np.sort(order[has_previous(doc[rows][unit[order]], new)])
+    if len(later):
+        # Starts of a unit are neighbours, so its bits are one slice.
+        first = np.flatnonzero(np.concatenate([[True], unit[later][1:] != unit[later][:-1]]))
+        masks[rows[unit[later][first]]] |= np.bitwise_or.reduceat(np.uint64(1) << k[later].astype(np.uint64), first)
 
 
 def _cut(b: Block, cuts: pa.Table, length: int) -> pa.Table:
