@@ -134,17 +134,49 @@ def mix_table(docs: DataFrame) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs_taken")).cast("long").alias("taken"))
 
 
-def mixed_docs(docs: DataFrame) -> DataFrame:
+def mixed_docs(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
     """The documents of the mix with their own columns, one row for each time a document is taken.
 
-    Documents whose size the mix leaves out are dropped; those taken twice stand twice.
+    Documents whose size the mix leaves out are dropped; those taken twice stand
+    twice.  Rows equal in doc_id, source and size (NULLs are equal) may differ
+    in how often they are taken, where the budget or a target ends among them:
+    they are then numbered, and a row with number i is taken as often as there
+    are passes that take more than i of them, so the words emitted are those of
+    ``mix``.  Fully equal rows share a range of numbers.  An empty table and one
+    without words give no rows.
     """
-    m = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    # Equal (doc_id, source, size) rows share one decision.
-    times = m.where("epochs_taken > 0").groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_z")).agg(F.max("epochs_taken").alias("_n"))
+    m = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), epochs=epochs)
+    passes = [f"_n{e}" for e in range(1, epochs + 1)]
+    took = [F.sum((F.col("epochs_taken") >= e).cast("long")).alias(f"_n{e}") for e in range(1, epochs + 1)]
+    key = ["_i", "_s", "_z"]
+    times = m.groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_z")).agg(F.count(F.lit(1)).alias("_rows"), *took)
+    times = materialize(times.where(F.col(passes[0]) > 0), "mix-times")
     base = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_d"), F.col("source").alias("_src"), word_count(F.col("text")).alias("_size"))
-    j = base.join(times, F.col("_d").eqNullSafe(F.col("_i")) & F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
-    return j.select("row", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int")))).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    met = F.col("_d").eqNullSafe(F.col("_i")) & F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
+    split = F.lit(False)
+    for n in passes:
+        split = split | ((F.col(n) > 0) & (F.col(n) < F.col("_rows")))
+    all_alike = sum(((F.col(n) > 0).cast("long") for n in passes), F.lit(0))
+    out = base.join(times.where(~split), met).select("row", all_alike.alias("_copies"))
+
+    # At most one such key per source and pass, and one at the cut: a short list, though its rows may be many.
+    uneven = times.where(split)
+    if not uneven.isEmpty():
+        rows = base.join(small_side(uneven), met).withColumn("_digest", F.sha2(F.to_json("row"), 256))
+        rows = rows.groupBy(*key, *passes, "_digest").agg(F.count(F.lit(1)).alias("_same"), F.first("row").alias("row"))
+        rows = materialize(rows.withColumn("_slice", F.pmod(F.xxhash64("_digest"), F.lit(SLICES))), "mix-uneven")
+        per_slice = rows.groupBy(*key, "_slice").agg(F.sum("_same").alias("_n"))
+        before = per_slice.withColumn("_start", F.sum("_n").over(Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+        before = before.select(*[F.col(c).alias(f"{c}b") for c in (*key, "_slice")], "_start")
+        inside = rows.withColumn("_upto", F.sum("_same").over(Window.partitionBy(*key, "_slice").orderBy("_digest").rowsBetween(Window.unboundedPreceding, 0)))
+        same = F.lit(True)
+        for c in (*key, "_slice"):
+            same = same & F.col(c).eqNullSafe(F.col(f"{c}b"))
+        first = F.col("_start") + F.col("_upto") - F.col("_same")
+        copies = sum((F.greatest(F.least(first + F.col("_same"), F.col(n)) - first, F.lit(0)) for n in passes), F.lit(0))
+        out = out.unionByName(inside.join(before, same).select("row", copies.alias("_copies")))
+    out = out.where("_copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long"))))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 MIX_SQL = f"""
