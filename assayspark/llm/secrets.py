@@ -21,23 +21,26 @@ HEX = r"([0-9a-f]{24,})"
 ASSIGN_MIN = 6
 KINDS = ("assign", "access", "hex")
 
-#: A candidate is a run of these characters with a digit and a letter in it; no alternative, so a run is maximal.
+#: A candidate is a run of these characters; no alternative, so a run is maximal.
 CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
+#: The characters of a candidate; the window's counts are kept in this order.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Bits per character that a window of ``WINDOW`` characters must reach, by the class of the candidate.
 WINDOW = 20
 ENTROPY = {"hex": 3.0, "alnum": 3.6, "base64": 3.7}
-#: Allow-list: shapes of high entropy that are no secrets (UUIDs, dates and versions, paths, words joined by signs).
+#: Letters without a digit are a key only if each case has this share of them; words in camel case have few capitals.
+CASE_SHARE = 0.25
+#: Allow-list: shapes of high entropy that are no secrets (UUIDs, dates with a time or words after them, paths, words
+#: joined by signs, numbers).  Repeated groups are possessive: each begins with a sign that no group ends in, so
+#: nothing is lost by not stepping back, and strings of any length are matched in a loop.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^(/|[A-Za-z]+/)[A-Za-z_-]+(/[A-Za-z0-9_-]{1,15})*/?$",
-    r"^[A-Za-z]{1,15}([-_/+=][A-Za-z]{1,15})*([-_/+=]?[0-9]{1,4})?$",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:T?[0-9]{2,6}Z?)?(?:[-_/+=][A-Za-z]{0,15}[0-9]{0,6})*+$",
+    r"^(?:/|[A-Za-z]+/)[A-Za-z_-]+(?:/[A-Za-z0-9_-]{1,15})*+/?$",
+    r"^[A-Za-z]{1,15}(?:[-_/+=][A-Za-z]{1,15})*+(?:[-_/+=]?[0-9]{1,4})?$",
     r"^[-_=+/0-9]+$",
 )
 
-#: Allow-listed shapes have at most so many characters.
-ALLOW_CHARS = 256
-
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 
@@ -86,8 +89,10 @@ def _candidates(text: Column) -> Column:
         shape = F.lit(False)
         for pattern in ALLOW:
             shape = shape | c["s"].rlike(pattern)
-        allowed = F.when(F.char_length(c["s"]) <= ALLOW_CHARS, shape).otherwise(F.lit(False))
-        return c["s"].rlike("[0-9]") & c["s"].rlike("[A-Za-z]") & ~allowed
+        capitals = F.char_length(F.regexp_replace(c["s"], "[^A-Z]", ""))
+        smalls = F.char_length(F.regexp_replace(c["s"], "[^a-z]", ""))
+        mixed = F.least(capitals, smalls) >= CASE_SHARE * (capitals + smalls)
+        return c["s"].rlike("[A-Za-z]") & (c["s"].rlike("[0-9]") | mixed) & ~shape
 
     def prepared(c: Column) -> Column:
         limit = (
@@ -104,30 +109,51 @@ def _candidates(text: Column) -> Column:
 def _entropy_span(c: Column) -> Column:
     """The candidate cut to its windows of high entropy (NULL if it has none).
 
-    S = sum of c * log2(c) over the character counts of the window changes by
-    f(c_in + 1) - f(c_in) and f(c_out - 1) - f(c_out) as the window moves by a
-    character, and the entropy is log2(W) - S / W.
+    The counts of the window's characters are held as one string, a character
+    per member of ``ALPHABET``, and change in two places as the window moves.
+    S = sum of c * log2(c) over the counts changes by f(c - 1) - f(c) for the
+    character that leaves and f(c + 1) - f(c) for the one that enters; the
+    entropy is log2(W) - S / W.
     """
     chars = c["chars"]
     f = lambda n: F.when(n <= 1, F.lit(0.0)).otherwise(n * F.log2(n.cast("double")))
-    count = lambda part, ch: F.size(F.filter(part, lambda x: x == ch))
     high = lambda x: (F.log2(F.lit(float(WINDOW))) - x / WINDOW) >= c["limit"]
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
+    none = ord("A")
+    zero = F.struct(
+        F.lit(0.0).alias("s"), F.lit(chr(none) * len(ALPHABET)).alias("n"),
+        F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"),
+    )
+
+    def let(value: Column, body) -> Column:
+        """``body`` of a value that is computed once."""
+        return F.element_at(F.transform(F.array(value), body), 1)
+
+    def moved(state: Column, ch: Column, by: int) -> Column:
+        """(s, n) after one more or one less of a character."""
+        at = lambda w: F.struct(w.alias("at"), (F.ascii(F.substring(state["n"], w, F.lit(1))) - none).alias("c"))
+        change = lambda x: F.struct(
+            (state["s"] + f(x["c"] + by) - f(x["c"])).alias("s"),
+            F.overlay(state["n"], F.char(x["c"] + (none + by)), x["at"], F.lit(1)).alias("n"),
+        )
+        return let(let(F.position(ch, F.lit(ALPHABET)), at), change)
 
     def slide(acc: Column, i: Column) -> Column:
-        # Character i enters and character i - W leaves; the window holds i - W + 1 .. i afterwards.
-        ch, old = F.element_at(chars, i), F.element_at(chars, F.greatest(i - WINDOW, F.lit(1)))
-        mid = F.slice(chars, F.greatest(i - WINDOW + 1, F.lit(1)), F.least(i - 1, F.lit(WINDOW - 1)))
-        c_in, c_out = count(mid, ch), count(mid, old)
-        left = acc["s"] + F.when(i > WINDOW, f(c_out) - f(c_out + 1)).otherwise(F.lit(0.0))
-        now = left + f(c_in + 1) - f(c_in)
+        # Character i - W leaves and character i enters; the window holds i - W + 1 .. i afterwards.
+        old = F.element_at(chars, F.greatest(i - WINDOW, F.lit(1)))
+        kept = F.struct(acc["s"].alias("s"), acc["n"].alias("n"))
+        left = F.when(i > WINDOW, moved(acc, old, -1)).otherwise(kept)
         first = i - WINDOW + 1
-        hit = (i >= WINDOW) & high(now)
-        return F.struct(
-            now.alias("s"),
-            F.coalesce(acc["lo"], F.when(hit, first)).alias("lo"),
-            F.when(hit, first).otherwise(acc["hi"]).alias("hi"),
-        )
+
+        def state(now: Column) -> Column:
+            hit = (i >= WINDOW) & high(now["s"])
+            return F.struct(
+                now["s"].alias("s"),
+                now["n"].alias("n"),
+                F.coalesce(acc["lo"], F.when(hit, first)).alias("lo"),
+                F.when(hit, first).otherwise(acc["hi"]).alias("hi"),
+            )
+
+        return let(let(left, lambda x: moved(x, F.element_at(chars, i), 1)), state)
 
     end = lambda acc: F.when(
         acc["lo"].isNotNull(),

@@ -153,7 +153,8 @@ def test_entropy_is_that_of_each_window(spark):
     for i, t in enumerate(texts):
         limit = secrets.ENTROPY["hex"] if all(c in "0123456789abcdef" for c in t) else secrets.ENTROPY["alnum"]
         high = [k for k in range(len(t) - 19) if entropy(t[k : k + 20]) >= limit - 1e-9]
-        mixed = any(c.isdigit() for c in t) and any(c.isalpha() for c in t)
+        up, low = sum(c.isupper() for c in t), sum(c.islower() for c in t)
+        mixed = up + low > 0 and (any(c.isdigit() for c in t) or min(up, low) >= (up + low) / 4)
         base = brute.secrets("¡ " + t + " !")[4]
         if high and mixed and not base:
             assert got[i] == f"entropy:{2 + high[0]}:{2 + high[-1] + 20}"
@@ -161,6 +162,32 @@ def test_entropy_is_that_of_each_window(spark):
             assert got[i] == ""
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("2024-05-17-kZ8q2Vt7xLw4Rm9Yb3Nc6Hd1", True),  # a key after a date
+        ("kZbqhVtxxLwRmpYbtNcHdwGfTyQe", True),  # a key without a digit
+        ("2024-05-17T103000Z-release-notes-v2", False),
+        ("2024-05-17-" + "weekly-report-" * 400 + "final", False),  # any length
+        ("getElementsByTagNameInDocument", False),  # few capitals
+        ("some-long-words/joined-by/Many-Signs", False),
+        ("home/" + "user/local/share/" * 400 + "x9", False),
+        ("abcdefghijklmnopqrstuvwxyz", False),  # letters of one case
+        ("Ab1" * 300, False),  # long and repetitive
+        ("q" * 5000 + "kZ8q2Vt7xLw4Rm9Yb3Nc6Hd1", True),
+    ],
+)
+def test_secret_shapes(spark, text, found):
+    docs = spark.createDataFrame([(1, f"see {text} .")], "doc_id long, text string")
+    spans = secrets.secret_table(docs).first().spans
+    assert bool(spans) == found
+    if found:
+        _, lo, hi = spans.split(":")
+        key = text[-24:] if text[0] != "k" else text
+        at = 4 + text.index(key)
+        assert int(lo) <= at + 4 and int(hi) >= at + len(key) - 4
+
+
 def test_quality(spark, rows):
     got = quality.quality_table(frame(spark, rows)).collect()
     assert len(got) == len(rows)
@@ -268,8 +295,29 @@ def test_mixing(spark, rows):
     mixed = mixing.mixed_docs(docs)
     assert mixed.columns == docs.columns
     words = sum(len(brute.WS_WORD.findall(r.text or "")) for r in mixed.collect())
-    if len({r[0] for r in rows}) == len(rows):
-        assert words == sum(taken.values())
+    assert words == sum(taken.values())
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, mixing.mixed_docs(docs.repartition(5)).collect()))
+
+
+@pytest.mark.parametrize("same_text", [True, False])
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_mixed_docs_takes_as_many_equal_rows_as_the_mix(spark, same_text, doc_id):
+    """The budget ends among rows equal in doc_id, source and size: they are taken a different number of times."""
+    hot = [(doc_id, " ".join(["w" if same_text else f"w{i}"] * 100), "en", "hot") for i in range(60)]
+    rest = [(100 + i, "a b c " * 40, "en", f"s{i % 2}") for i in range(20)]
+    docs = frame(spark, hot + rest)
+    taken = {}
+    for r in mixing.mix_table(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    assert taken[doc_id] % 6000, "the case must split the equal rows"
+    got = mixing.mixed_docs(docs).collect()
+    words = {}
+    for r in got:
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+    assert words == {k: v for k, v in taken.items() if v}
+    if not same_text:
+        times = [sum(r.text == h[1] for r in got) for h in hot]
+        assert max(times) - min(times) <= 1
 
 
 def test_escape_round_trip():
