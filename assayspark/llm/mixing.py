@@ -157,7 +157,8 @@ def mixed_docs(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
     for n in passes:
         split = split | ((F.col(n) > 0) & (F.col(n) < F.col("_rows")))
     all_alike = sum(((F.col(n) > 0).cast("long") for n in passes), F.lit(0))
-    out = base.join(times.where(~split), met).select("row", all_alike.alias("_copies"))
+    # The decisions grow with the documents, and their file is many times smaller than their rows in memory: not broadcast.
+    out = base.join(times.where(~split).hint("merge"), met).select("row", all_alike.alias("_copies"))
 
     # At most one such key per source and pass, and one at the cut: a short list, though its rows may be many.
     uneven = times.where(split)
