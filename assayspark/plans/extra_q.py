@@ -352,7 +352,7 @@ def _knn(spark, d, k: int = 5):
     f"""{KNN_SQL} SELECT q_id, r_id, CAST(rank AS INTEGER) AS rank, round(dist, 4) AS dist FROM nn WHERE rank <= 5""",
 )
 def j16_knn_join(spark, d):
-    """Exact 5-nearest reference cells for every query cell (block nested loop, k best per block)."""
+    """Exact 5-nearest reference cells for every query cell (pivot cells, blocks skipped by the triangle inequality)."""
     return _knn(spark, d).select("q_id", "r_id", "rank", F.round("dist", 4).alias("dist"))
 
 
