@@ -281,8 +281,8 @@ def test_nmf_follows_a_dense_run(spark, monkeypatch):
                     padded = np.concatenate([w[part, j], np.full(-n % b, w[part, j][-1])])
                     w[part, j] = np.maximum(np.repeat(tv_prox(padded.reshape(-1, b).mean(axis=1), lam), b)[:n], 0)
         H = np.maximum(np.linalg.solve(w.T @ w + l2 * np.eye(k), w.T @ y), 0)
-    for parts in (1, 5):
-        blocks = N.to_blocks(df.repartition(parts), b)
+    for parts, block_bins in ((1, N.BLOCK_BINS), (5, 4)):  # 157 positions: one block, or eight a chromosome
+        blocks = N.to_blocks(df.repartition(parts), b, block_bins)
         res = N.nmf_fused_lasso(None, k, bin_size=b, fl_every=3, num_iter=4, l2=l2, fl=lam, tol=0.0, blocks=blocks)
         assert np.allclose(res.H, H)
         got = {(r.chrom, r.pos): r.w for r in res.W().collect()}
