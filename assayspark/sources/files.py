@@ -68,13 +68,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], min_partitions:
     return df.repartition(min_partitions) if min_partitions else df
 
 
-def headed_lines(spark: SparkSession, paths: str | Sequence[str], mark: str = "#") -> DataFrame:
-    """Data lines of tab-separated files as (dataset, header ARRAY, cells ARRAY), each file with its own header.
-
-    A file's first line is dropped if it starts with ``mark`` (other such lines
-    stay data) and the next line is its header.  The headers are one row per
-    file, joined back by path.
-    """
+def _headed(spark: SparkSession, paths: str | Sequence[str], mark: str) -> tuple[DataFrame, DataFrame]:
+    """Data lines (dataset, cells ARRAY) and headers (dataset, header ARRAY; one row per file)."""
     plist = [paths] if isinstance(paths, str) else list(paths)
     lines = with_row_index(spark.read.text(plist).select("value", F.col("_metadata.file_path").alias("dataset"), "_metadata"))
     first = lines.groupBy("dataset").agg(F.min(F.struct("row_idx", "value")).alias("_f"))
@@ -83,24 +78,38 @@ def headed_lines(spark: SparkSession, paths: str | Sequence[str], mark: str = "#
     placed = lines.join(first, "dataset")
     heads = placed.where(F.col("row_idx") == F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("header"))
     data = placed.where(F.col("row_idx") > F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("cells"))
+    return data, heads
+
+
+def headed_lines(spark: SparkSession, paths: str | Sequence[str], mark: str = "#") -> DataFrame:
+    """Data lines of tab-separated files as (dataset, header ARRAY, cells ARRAY), each file with its own header.
+
+    A file's first line is dropped if it starts with ``mark`` (other such lines
+    stay data) and the next line is its header.  The headers are one row per
+    file, joined back by path.
+    """
+    data, heads = _headed(spark, paths, mark)
     return data.join(heads, "dataset")
 
 
 def read_tsv_table(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Header TSV files, every column as STRING, plus ``dataset`` = source file path.
 
-    Files may differ in columns, column order and a leading comment line: a cell
-    is found by its name in its own file's header, and a column that a file
-    lacks is NULL.  ``columns`` names the wanted columns; by default all names of
-    all headers (one small row per file), in order of first appearance.
+    Files may differ in columns, column order and a leading comment line: a name
+    is looked up once in every file's header, its cells are then taken by their
+    place, and a column that a file lacks is NULL.  ``columns`` names the wanted
+    columns; by default all names of all headers (one small row per file), in
+    order of first appearance.
     """
-    rows = headed_lines(spark, paths)
+    data, heads = _headed(spark, paths, "#")
     if columns is None:
-        columns = []
-        for r in rows.select("dataset", "header").distinct().orderBy("dataset").toLocalIterator():
-            columns += [c for c in r["header"] if c not in columns]
-    cell = lambda c: F.get("cells", F.array_position("header", F.lit(c)).cast("int") - 1)
-    return rows.select(*[F.nullif(F.when(F.array_contains("header", F.lit(c)), cell(c)), F.lit("")).alias(c) for c in columns], "dataset")
+        seen: dict[str, None] = {}
+        for r in heads.orderBy("dataset").toLocalIterator():
+            seen |= dict.fromkeys(r["header"])
+        columns = list(seen)
+    places = heads.select("dataset", F.array(*[(F.array_position("header", F.lit(c)) - 1).cast("int") for c in columns]).alias("_places"))
+    cells = data.join(places, "dataset")
+    return cells.select(*[F.nullif(F.get("cells", F.get("_places", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(columns)], "dataset")
 
 
 def read_expression(spark: SparkSession, paths: str | Sequence[str], n_meta: int = 2, feature_col: str | None = None) -> DataFrame:
