@@ -59,3 +59,15 @@ def keep_first_by_values(df: DataFrame, value_cols: Sequence[str], order: str |
 def duplicated_names(df: DataFrame, name: str) -> DataFrame:
     """Names that occur more than once, with their counts."""
     return df.groupBy(name).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > 1)
+
+
+def stack_labels(m: DataFrame, row: str, label: str, labels: Sequence[str]) -> DataFrame:
+    """U04 in long form: the label frames of all ``labels`` stacked, as rows (row, label, flag).
+
+    A frame holds the distinct ``row`` values of one label, True for it and False
+    for every other one.  The plan has one step whatever the number of labels;
+    rows with a NULL label are in no frame.
+    """
+    own = m.where(F.col(label).isNotNull()).select(row, F.col(label).alias("_own")).distinct()
+    each = own.select(row, "_own", F.explode(F.lit(list(labels)).cast("array<string>")).alias(label))
+    return each.select(row, label, (F.col("_own") == F.col(label)).alias("flag"))

@@ -200,9 +200,9 @@ def _brands(spark, d):
     ("mutations",),
 )
 def u03_union_samples(spark, d):
-    """The samples of all brands, each brand a frame of its own."""
-    m, names = _brands(spark, d)
-    return U.union_distinct(*[m.where(F.col("gene") == g).select("sample") for g in names])
+    """The samples of all brands' frames, read as one long frame."""
+    m = view(spark, d, "mutations").where(F.col("gene").isNotNull())
+    return U.union_distinct(m.select("sample"))
 
 
 @query(
@@ -214,10 +214,7 @@ def u03_union_samples(spark, d):
 def u04_union_fill(spark, d):
     """Label frames of all brands stacked; a brand's column is False in the frames that lack it."""
     m, names = _brands(spark, d)
-    frames = [m.where(F.col("gene") == g).select("sample").distinct().withColumn(g, F.lit(True)) for g in names]
-    u = reduce(lambda a, b: U.union_fill(a, b, False), frames)
-    cells = F.explode(F.array(*[F.struct(F.lit(g).alias("gene"), F.col(f"`{g}`").alias("flag")) for g in names])).alias("c")
-    return u.select("sample", cells).select("sample", "c.gene", "c.flag")
+    return U.stack_labels(m, "sample", "gene", names)
 
 
 @query(
