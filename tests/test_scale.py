@@ -31,3 +31,12 @@ def test_bins_are_never_broadcast(spark, events):
     for df in (y, SQ.annotation(spark, events), y.join(SQ.annotation(spark, events).hint("merge"), ["chrom", "pos"])):
         assert "BroadcastHashJoin" not in plan(df)
         assert df.count() == 3 * df.select("pos").distinct().count()
+
+
+def test_bins_are_dealt_by_their_number(spark, monkeypatch):
+    t = spark.createDataFrame([("a", f"c{i}", 0, 600, 2.0) for i in range(50)] + [("a", "c0", 600, 630, 4.0)], "track string, chrom string, start long, end long, value double")
+    monkeypatch.setattr(G, "TASK_BINS", 10)
+    got = G.binned_values(t, 60)
+    assert "REPARTITION_BY_NUM" in plan(got) and got.rdd.getNumPartitions() == 51
+    assert got.count() == 501 and got.where("pos = 10").first()["value"] == 2.0
+    assert G.binned_values(t.where("track = 'b'"), 60).count() == 0
