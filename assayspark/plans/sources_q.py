@@ -19,6 +19,10 @@ from assayspark.session import scratch_path, table
 from assayspark.views import CHUNK_BP
 
 
+#: Rows of a written file.
+FILE_ROWS = 100_000
+
+
 def _fresh(spark, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
@@ -51,18 +55,20 @@ def s01_s04_tsv_expression(spark, d):
 def s02_s03_comment_first_line(spark, d):
     """A leading '#' line is skipped in the files that have one; the header is the next line; empty cells are NULL.
 
-    The mutations are written as many files: those of odd part numbers begin with a comment line, the others do not.
+    The mutations are written as many files, more for more rows: those of odd part numbers begin with a comment line,
+    the others do not.
     """
     path = _fresh(spark, "mut-tsv")
     m = view(spark, d, "mutations")
+    n = max(8, -(-m.count() // FILE_ROWS))
     body = m.select(
         F.concat_ws("\t", F.coalesce("gene", F.lit("")), F.col("sample").cast("string"), F.coalesce("consequence", F.lit(""))).alias("value"),
-        F.pmod(F.xxhash64("row_idx"), F.lit(8)).cast("int").alias("part"), F.lit(2).alias("line"),
+        F.pmod(F.xxhash64("row_idx"), F.lit(n)).cast("int").alias("part"), F.lit(2).alias("line"),
     )
-    parts = spark.range(8).select(F.col("id").cast("int").alias("part"))
+    parts = spark.range(n).select(F.col("id").cast("int").alias("part"))
     head = parts.select(F.lit("Hugo_Symbol\tTumor_Sample_Barcode\tConsequence").alias("value"), "part", F.lit(1).alias("line"))
     note = parts.where("part % 2 = 1").select(F.lit("#version 2.4").alias("value"), "part", F.lit(0).alias("line"))
-    files = body.unionByName(head).unionByName(note).repartition("part").sortWithinPartitions("part", "line")
+    files = body.unionByName(head).unionByName(note).repartition(n, "part").sortWithinPartitions("part", "line")
     files.select("value", "part").write.partitionBy("part").text(path)
     mut = R.read_mutations(spark, path)
     return mut.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("sample").alias("n_samples"))

@@ -55,7 +55,7 @@ def with_row_index(df: DataFrame, name: str = "row_idx") -> DataFrame:
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).select(
         F.col("_fp").alias("_bfp"), F.col("_fb").alias("_bfb"), "_mid0", "_off"
     )
-    j = tagged.join(blocks, (F.col("_fp") == F.col("_bfp")) & (F.col("_fb") == F.col("_bfb")))
+    j = tagged.join(F.broadcast(blocks), (F.col("_fp") == F.col("_bfp")) & (F.col("_fb") == F.col("_bfb")))
     keep = [c for c in df.columns if c != "_metadata"]
     return j.select(*keep, (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias(name))
 
@@ -75,7 +75,8 @@ def _headed(spark: SparkSession, paths: str | Sequence[str], mark: str) -> tuple
     first = lines.groupBy("dataset").agg(F.min(F.struct("row_idx", "value")).alias("_f"))
     at = F.col("_f.row_idx") + F.col("_f.value").startswith(mark).cast("long")
     first = first.select("dataset", at.alias("_at"))
-    placed = lines.join(first, "dataset")
+    # Joins by file are broadcast: by key, all lines of a file would go to one task.
+    placed = lines.join(F.broadcast(first), "dataset")
     heads = placed.where(F.col("row_idx") == F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("header"))
     data = placed.where(F.col("row_idx") > F.col("_at")).select("dataset", F.split("value", "\t", -1).alias("cells"))
     return data, heads
@@ -89,7 +90,7 @@ def headed_lines(spark: SparkSession, paths: str | Sequence[str], mark: str = "#
     file, joined back by path.
     """
     data, heads = _headed(spark, paths, mark)
-    return data.join(heads, "dataset")
+    return data.join(F.broadcast(heads), "dataset")
 
 
 def read_tsv_table(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -108,7 +109,7 @@ def read_tsv_table(spark: SparkSession, paths: str | Sequence[str], columns: Seq
             seen |= dict.fromkeys(r["header"])
         columns = list(seen)
     places = heads.select("dataset", F.array(*[(F.array_position("header", F.lit(c)) - 1).cast("int") for c in columns]).alias("_places"))
-    cells = data.join(places, "dataset")
+    cells = data.join(F.broadcast(places), "dataset")
     return cells.select(*[F.nullif(F.get("cells", F.get("_places", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(columns)], "dataset")
 
 

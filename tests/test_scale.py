@@ -40,3 +40,34 @@ def test_bins_are_dealt_by_their_number(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" in plan(got) and got.rdd.getNumPartitions() == 51
     assert got.count() == 501 and got.where("pos = 10").first()["value"] == 2.0
     assert G.binned_values(t.where("track = 'b'"), 60).count() == 0
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield spark
+    spark.conf.set(key, before)
+
+
+def test_lines_are_not_dealt_by_file(no_auto_broadcast, tmp_path):
+    from assayspark.sources import files as R
+
+    for i, mark in enumerate(("", "#note\n")):
+        (tmp_path / f"f{i}.tsv").write_text(mark + "a\tb\n" + "".join(f"{j}\t{i}\n" for j in range(5)))
+    t = R.read_tsv_table(no_auto_broadcast, str(tmp_path))
+    assert "SortMergeJoin" not in plan(t)
+    assert sorted((r["a"], r["b"]) for r in t.collect()) == sorted((str(j), str(i)) for i in range(2) for j in range(5))
+
+
+def test_mutation_files_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    rows = [(i, i % 10, i % 7 + 1) for i in range(300)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = [(i, f"B{i % 3}", "ECONOMY" if i % 2 else "SMALL", i) for i in range(10)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(SRC, "_fresh", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(SRC, "FILE_ROWS", 20)
+    got = {r["gene"]: (r["n"], r["n_samples"]) for r in SRC.s02_s03_comment_first_line(spark, str(tmp_path)).collect()}
+    assert got == {None: (30, 30), "B0": (120, 120), "B1": (60, 60), "B2": (90, 90)}
+    assert len(list((tmp_path / "mut-tsv").glob("part=*"))) == 15
