@@ -52,7 +52,8 @@ def standardize(train: DataFrame, apply_to: DataFrame | None = None, feature: st
 def drop_all_missing(m: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
     """Drop features with no observed value."""
     keep = m.groupBy(feature).agg(F.count(value).alias("_n")).where(F.col("_n") > 0).select(feature)
-    return m.join(keep, feature, "left_semi")
+    # The features are hashed, so the cells need not be sorted.
+    return m.join(keep.hint("shuffle_hash"), feature, "left_semi")
 
 
 def drop_missing_rate(m: DataFrame, max_rate: float = 0.5, feature: str = "feature", value: str = "value") -> DataFrame:
@@ -63,4 +64,4 @@ def drop_missing_rate(m: DataFrame, max_rate: float = 0.5, feature: str = "featu
         .where(F.col("_rate") <= max_rate)
         .select(feature)
     )
-    return m.join(keep, feature, "left_semi")
+    return m.join(keep.hint("shuffle_hash"), feature, "left_semi")

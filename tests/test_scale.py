@@ -71,3 +71,10 @@ def test_mutation_files_grow_with_the_rows(spark, tmp_path, monkeypatch):
     got = {r["gene"]: (r["n"], r["n_samples"]) for r in SRC.s02_s03_comment_first_line(spark, str(tmp_path)).collect()}
     assert got == {None: (30, 30), "B0": (120, 120), "B1": (60, 60), "B2": (90, 90)}
     assert len(list((tmp_path / "mut-tsv").glob("part=*"))) == 15
+
+
+def test_missing_filters_do_not_sort_the_cells(no_auto_broadcast):
+    m = no_auto_broadcast.createDataFrame([("a", 1.0), ("a", None), ("b", None), ("c", None), ("c", None), ("c", 1.0), (None, 1.0)], "feature string, value double")
+    got = S.drop_missing_rate(S.drop_all_missing(m), 0.5)
+    assert "SortMergeJoin" not in plan(got)
+    assert sorted(got.collect(), key=str) == sorted(m.where("feature = 'a'").collect(), key=str)
