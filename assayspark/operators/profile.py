@@ -268,7 +268,8 @@ def log2p1_if_counts(m: DataFrame, group: str = "dataset", value: str = "value",
     rng = m.groupBy(group).agg(F.min(value).alias("_min"), F.max(value).alias("_max"))
     is_raw = ~((F.col("_min") < 0) | (F.col("_max") < cutoff))
     return (
-        m.join(rng, group, "left")
+        # Few groups of many rows: joined by key, a group's rows would go to one task.
+        m.join(F.broadcast(rng), group, "left")
         .withColumn(value, F.when(is_raw, F.log2(F.col(value) + 1)).otherwise(F.col(value)))
         .withColumn("was_raw", is_raw)
         .drop("_min", "_max")

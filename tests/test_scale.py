@@ -78,3 +78,10 @@ def test_missing_filters_do_not_sort_the_cells(no_auto_broadcast):
     got = S.drop_missing_rate(S.drop_all_missing(m), 0.5)
     assert "SortMergeJoin" not in plan(got)
     assert sorted(got.collect(), key=str) == sorted(m.where("feature = 'a'").collect(), key=str)
+
+
+def test_rows_of_a_dataset_stay_where_they_are(no_auto_broadcast):
+    m = no_auto_broadcast.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 63.0), (None, 7.0)], "dataset string, value double")
+    got = P.log2p1_if_counts(m)
+    assert "SortMergeJoin" not in plan(got)
+    assert sorted((r["dataset"] or "", r["value"], r["was_raw"]) for r in got.collect()) == [("", 7.0, None), ("a", 1.0, False), ("a", 3.0, False), ("b", 6.0, True)]
