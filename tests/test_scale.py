@@ -85,3 +85,17 @@ def test_rows_of_a_dataset_stay_where_they_are(no_auto_broadcast):
     got = P.log2p1_if_counts(m)
     assert "SortMergeJoin" not in plan(got)
     assert sorted((r["dataset"] or "", r["value"], r["was_raw"]) for r in got.collect()) == [("", 7.0, None), ("a", 1.0, False), ("a", 3.0, False), ("b", 6.0, True)]
+
+
+def test_mask_draws_once_per_row(spark):
+    from pyspark.sql import functions as F
+
+    from assayspark.functions import tokens as K
+
+    ids = [0, 1, 7, 2**31 - 1, 2**31 + 5, 10**15, -3, None]
+    df = spark.createDataFrame([(i, list(range(1, 41))) for i in ids], "id long, t array<int>")
+    m = K.random_mask(F.col("t"), F.col("id"), 3, 0.15, seed=42)
+    one = F.transform("t", lambda t, i: F.when(K.arith_hash(F.col("id"), i, F.lit(3), F.lit(42)) / float(K.HASH_MOD) < 0.15, F.lit(0)).otherwise(t))
+    got = df.select(m.alias("m"), one.alias("one"))
+    assert all(r["m"] == r["one"] for r in got.collect())
+    assert str(m).count("pmod") <= 3
