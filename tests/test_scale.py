@@ -99,3 +99,26 @@ def test_mask_draws_once_per_row(spark):
     got = df.select(m.alias("m"), one.alias("one"))
     assert all(r["m"] == r["one"] for r in got.collect())
     assert str(m).count("pmod") <= 3
+
+
+@pytest.mark.parametrize("chunk", [4096, 4])
+def test_correlations_are_not_shuffled_by_row(spark, monkeypatch, chunk):
+    import numpy as np
+
+    monkeypatch.setattr(P, "CORR_OBS", chunk)
+    for name, side in (("CORR_VARS", 3), ("CORR_BLOCKS", 4), ("CORR_ROWS", 5)):
+        monkeypatch.setattr(P, name, side)
+    x = np.random.default_rng(5).normal(size=(11, 9))
+    x[4] = 2.0  # no variance
+    cells = [(f"v{i}", j, float(x[i, j])) for i in range(11) for j in range(9)] + [(None, 0, 1.0), ("v1", None, 3.0), ("v0", 77, None)]
+    cells = [c for c in cells if c[1] is not None]
+    got = P.pairwise_corr(spark.createDataFrame(cells, "feature string, sample int, value double"))
+    with np.errstate(invalid="ignore"):
+        want = np.corrcoef(x)
+    names = [f"v{i}" for i in range(11) if i != 4]
+    found = {(r.feature_i, r.feature_j): r.r for r in got.collect()}
+    assert got.columns == ["feature_i", "feature_j", "r"] and got.count() == len(names) ** 2
+    assert all(abs(found[a, b] - want[int(a[1:]), int(b[1:])]) < 1e-9 for a in names for b in names)
+    # Above the products, rows are neither joined nor shuffled.
+    top = plan(got).split("MapInArrow" if chunk > 9 else "FlatMapCoGroupsInArrow")[0]
+    assert "Join" not in top and "Exchange" not in top
