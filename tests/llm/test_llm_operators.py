@@ -491,7 +491,7 @@ def test_oracle(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = Q.QUERIES[name](spark, SF)
     want = con.execute(Q.ORACLES[name])
