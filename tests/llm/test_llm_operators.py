@@ -399,6 +399,23 @@ def test_repeated_passages(spark):
     assert chain.repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_passages_whose_seeds_occur_first_in_pieces_elsewhere(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
+    p = text(64)
+    pieces = {i: text(20) + p[8 * i : 8 * i + 16] + text(20) for i in range(7)}  # every seed of p is in one of them
+    copied = list(p)
+    copied[30] = "changed"
+    docs = pieces | {10: text(30) + p + text(9), 11: text(5) + copied + text(40), 12: text(50)}
+    docs[13] = docs[11]  # a copy is linked to the first one of its text
+    rows = [(i, " ".join(w), None, None) for i, w in docs.items()]
+    got = chain.repeated_passages(frame(spark, rows), block_bytes=2048).collect()
+    spans = {(r.doc_id, r.src_doc_id): (r.start_word, r.end_word, r.src_start, r.src_end, r.n_match) for r in got}
+    assert spans[11, 10] == (5, 69, 30, 94, 63)
+    assert (13, 11) in spans and {d for d, _ in spans} == {11, 13} and len(got) == len(spans)
+    assert {r.class_id for r in got} == {10}
+
+
 def test_passages_of_one_source_are_found_across_long_gaps(spark):
     """Header and footer around unrelated words, on both sides, on one side only and twice as long."""
     rng = random.Random(12)
