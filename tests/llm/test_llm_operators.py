@@ -503,6 +503,25 @@ def test_pipeline(spark):
     assert all(abs(taken.get(s, 0) - goal[s]) <= longest for s in goal)
 
 
+def test_texts_are_indexed_once_and_chained_from_their_index():
+    """Words and seeds come with the texts; a passage inside one that is found already gives no row of its own."""
+    words = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    shared = words("s", 70)
+    a = words("a", 30) + shared + words("b", 400) + ["x", "y"] * 40
+    b = words("c", 12) + shared[:30] + ["new"] + shared[30:] + words("d", 9) + ["x", "y"] * 50
+    texts = [" ".join(w).encode() for w in (a, b, [])]
+    made = chain._indexed(texts)
+    assert made == [chain._indexed([t])[0] for t in texts]
+    at = [tuple(np.frombuffer(c, k) for c, k in zip(t, (np.uint64, np.int32, np.uint64), strict=True)) for t in made]
+    assert all((np.diff(h.astype(np.float64)) >= 0).all() for *_, h in at)
+    got = chain._chained(at[0], at[1], 0.8, 40)
+    assert (30, 100, 12, 83, 70, 70 / 71) in got
+    spans = sorted(g[:2] for g in got)
+    assert all(p[1] <= q[0] for p, q in zip(spans, spans[1:], strict=False))
+    assert any(p[0] >= 490 and p[1] - p[0] >= 75 for p in spans)  # the repeated words too, once
+    assert chain._chained(at[0], at[2], 0.8, 40) == []
+
+
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_oracle(spark, name):
     import duckdb
