@@ -122,3 +122,19 @@ def test_correlations_are_not_shuffled_by_row(spark, monkeypatch, chunk):
     # Above the products, rows are neither joined nor shuffled.
     top = plan(got).split("MapInArrow" if chunk > 9 else "FlatMapCoGroupsInArrow")[0]
     assert "Join" not in top and "Exchange" not in top
+
+
+def test_tracks_are_scaled_to_unit_norm(spark, events):
+    import math
+
+    got = SQ.a20_track_norms(spark, events)
+    assert "Exchange hashpartitioning(track" not in plan(got).split("Scan parquet")[0]
+    rows = got.collect()
+    binned = {(r["track"], r["chrom"], r["pos"]): r["value"] for r in SQ.binned(spark, events).collect()}
+    assert {(r["track"], r["chrom"], r["pos"]) for r in rows} == set(binned) and len(rows) == len(binned)
+    for track in ("purchase", "view", "click"):
+        norm = math.sqrt(sum(math.log1p(v) ** 2 for k, v in binned.items() if k[0] == track))
+        mine = [r for r in rows if r["track"] == track]
+        assert mine and norm > 0 and all(abs(r["norm"] - norm) < 1e-6 for r in mine)
+        assert all(abs(r["unit"] - math.log1p(binned[track, r["chrom"], r["pos"]]) / norm) < 1e-8 for r in mine)
+        assert abs(sum(r["unit"] ** 2 for r in mine) - 1) < 1e-5
