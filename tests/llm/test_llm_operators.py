@@ -416,6 +416,63 @@ def test_passages_whose_seeds_occur_first_in_pieces_elsewhere(spark):
     assert {r.class_id for r in got} == {10}
 
 
+def test_passages_of_documents_that_others_link_are_found(spark):
+    """The two share a passage of their own; the seeds of the second one occur first in pieces elsewhere."""
+    rng = random.Random(33)
+    text = lambda n: [f"{rng.getrandbits(40):x}" for _ in range(n)]
+    p, q = text(64), text(70)
+    docs = {i: text(20) + p[8 * i : 8 * i + 16] + text(20) for i in range(7)}
+    docs |= {10: q + text(90) + p + text(9), 11: text(5) + p + text(120) + q, 12: p + text(30), 13: ["so"] * 60 + text(9), 14: text(8) + ["so"] * 70, 15: ["so"] * 45 + text(5)}
+    rows = [(i, " ".join(w), None, None) for i, w in docs.items()]
+    got = chain.repeated_passages(frame(spark, rows), block_bytes=2048).collect()
+    spans = {(r.doc_id, r.src_doc_id, r.start_word, r.end_word, r.src_start, r.src_end) for r in got}
+    assert {(11, 10, 189, 259, 0, 70), (11, 10, 5, 69, 160, 224), (12, 10, 0, 64, 160, 224), (12, 11, 0, 64, 5, 69)} <= spans
+    assert {(d, s) for d, s, *_ in spans} == {(11, 10), (12, 10), (12, 11), (14, 13), (15, 13), (15, 14)} and len(spans) == len(got)
+    assert {r.class_id for r in got} == {10, 13}
+
+
+def test_pairs_of_a_hot_seed_are_made_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(chain, "MADE_PAIRS", 500)
+    monkeypatch.setattr(chain, "ROW_PAIRS", 64)
+    n = 120
+    docs, texts = np.arange(n), np.arange(n).astype(np.uint64) * np.uint64(3)
+    texts[7] = texts[3]  # a copy
+    rows = []
+    for key in (5, 6):  # the same pairs over two keys
+        rows.append((0, np.full(n, key, np.uint64).tobytes(), docs.tobytes(), bytes(n), texts.tobytes(), bytes([1] * n)))
+    batches = list(chain._partners(iter(chain._packed(rows, chain.KEYS).to_batches())))
+    made = [(d, s) for b in batches for i in range(b.num_rows) for d, s in zip(*(chain._unpacked(b, i)[c].tolist() for c in (0, 3)), strict=True)]
+    others = [i for i in range(n) if i != 7]
+    assert sorted(made) == sorted([(7, 3)] + [(d, s) for d in others for s in others if s < d])
+    assert len(batches) > n * n // 2 // 600 and all(x <= 64 for b in batches for x in b.column("n").to_pylist())
+    cells = [b for row in batches for b in chain._cells(iter([row]), 7, 2)]
+    assert sum(sum(b.column("n").to_pylist()) for b in cells) == len(made)
+    assert all(c // 2 // 7 <= c // 2 % 7 for b in cells for c in b.column("cell").to_pylist())
+
+
+def test_runs_of_one_word_match_without_all_their_pairs():
+    rng = random.Random(8)
+    for _ in range(40):
+        texts = []
+        for _ in range(2):
+            w = []
+            for _ in range(rng.randint(1, 6)):
+                unit = [rng.choice("abcde") for _ in range(rng.randint(1, 4))]
+                w += unit * rng.randint(1, 14)
+            texts.append(" ".join(w).encode())
+        (_, x, hx), (_, y, hy) = ([np.frombuffer(c, k) for c, k in zip(t, (np.uint64, np.int32, np.uint64), strict=True)] for t in chain._indexed(texts))
+        pairs = [(i, j) for i, h in zip(x.tolist(), hx.tolist(), strict=True) for j, g in zip(y.tolist(), hy.tolist(), strict=True) if h == g]
+        first, last, d = chain._matched_runs(chain._seed_runs(x, hx), chain._seed_runs(y, hy))
+        assert bool(pairs) == bool(len(d))
+        if pairs:
+            want = chain.fragments(*np.array(pairs, dtype=np.int64).T)
+            assert chain._run_fragments(first, last, d) == want
+    texts = [" ".join(["the"] * n).encode() for n in (30_000, 25_000)]
+    at = [tuple(np.frombuffer(c, k) for c, k in zip(t, (np.uint64, np.int32, np.uint64), strict=True)) for t in chain._indexed(texts)]
+    assert len(chain._matched_runs(*(chain._seed_runs(*t[1:]) for t in at))[0]) < 60_000  # of 750 million pairs of seeds
+    assert chain._chained(at[1], at[0], 0.8, 40)[0][4] == 25_000
+
+
 def test_passages_of_one_source_are_found_across_long_gaps(spark):
     """Header and footer around unrelated words, on both sides, on one side only and twice as long."""
     rng = random.Random(12)
